@@ -32,6 +32,8 @@ class Index:
     centroids: DataFrame
     rows: DataFrame
     nprobe: int = DEFAULT_NPROBE
+    # (list, share of the rows) as estimated from the training sample, for file layout.
+    shares: DataFrame | None = None
 
 
 def _lists_udf(spark: SparkSession, cids: np.ndarray, matrix: np.ndarray, n: int):
@@ -118,15 +120,16 @@ def _seeded(id_column: str, seed: int):
 
 def training_sample(vectors: DataFrame, size: int, seed: int) -> DataFrame:
     """``size`` rows picked by a seeded hash of their id, or all rows if there are fewer.
+    Picked rows without a vector are left out.
 
-    Only hashes are sorted.  A first cut keeps about a fifth more rows than needed, so the
-    sort sees no more of the table than that.
+    Only hashes are sorted, and counting and picking read no vectors.  A first cut keeps
+    about a fifth more rows than needed, so the sort sees no more of the table than that.
     """
-    rows = vectors.filter(F.col("embedding").isNotNull()).select(
-        "id", "embedding", _seeded("id", seed).alias("draw"))
+    rows = vectors.select("id", "embedding", _seeded("id", seed).alias("draw"))
+    whole = rows.filter(F.col("embedding").isNotNull())
     total = rows.count()
     if total <= size:
-        return rows
+        return whole
     share = min(1.0, (size * 1.2 + 100) / total)
     while True:
         limit = int(-(2 ** 63) + share * (2 ** 64 - 1))
@@ -135,8 +138,8 @@ def training_sample(vectors: DataFrame, size: int, seed: int) -> DataFrame:
                 .agg(F.count("*").alias("n"), F.max(F.struct("draw", "id")).alias("last")).first())
         if edge["n"] == size:
             draw, last_id = edge["last"]
-            return rows.filter((F.col("draw") < draw)
-                               | ((F.col("draw") == draw) & (F.col("id") <= last_id)))
+            return whole.filter((F.col("draw") < draw)
+                                | ((F.col("draw") == draw) & (F.col("id") <= last_id)))
         share = min(1.0, share * 2)
 
 
@@ -146,11 +149,17 @@ def train(vectors: DataFrame, n_lists: int = 100, sample: int = 50_000, iters: i
 
     The start is a seeded choice of rows; every one of ``iters`` rounds is run.
     """
+    return _train(vectors, n_lists, sample, iters, seed)[0]
+
+
+def _train(vectors, n_lists, sample, iters, seed) -> tuple[DataFrame, DataFrame]:
+    """Centroids, and the training rows of each list."""
     check_count("n_lists", n_lists)
     check_count("sample", sample)
     check_count("iters", iters, 0)
     spark = vectors.sparkSession
-    chosen = cut_lineage(training_sample(vectors, sample, seed))
+    # The sample is gathered from every task of a large scan into partitions of its own size.
+    chosen = cut_lineage(training_sample(vectors, sample, seed).repartition("id"))
     rows = chosen.count()
     if not rows:
         raise ValueError("nothing to index: the corpus has no vectors")
@@ -163,7 +172,10 @@ def train(vectors: DataFrame, n_lists: int = 100, sample: int = 50_000, iters: i
             moved = kmeans_step(chosen, _centroid_frame(spark, centres)).toArrow()
             order = np.argsort(moved.column("cid").to_numpy())
             centres = kernels.to_matrix(moved.column("centroid"))[order]
-    return _centroid_frame(spark, centres)
+    centroids = _centroid_frame(spark, centres)
+    shares = assign(chosen, centroids).groupBy("cluster").agg(
+        (F.count("*") / rows).alias("share"))
+    return centroids, shares
 
 
 def _centroid_frame(spark: SparkSession, centres: np.ndarray) -> DataFrame:
@@ -178,8 +190,9 @@ def _centroid_frame(spark: SparkSession, centres: np.ndarray) -> DataFrame:
 def build_index(corpus: DataFrame, n_lists: int = 100, sample: int = 50_000, iters: int = 10,
                 nprobe: int = DEFAULT_NPROBE, seed: int = 0) -> Index:
     """Train centroids and assign every row.  Building again replaces the lists."""
-    centroids = train(corpus.select("id", "embedding"), n_lists, sample, iters, seed)
-    return Index(centroids, assign(corpus, centroids), check_count("nprobe", nprobe))
+    check_count("nprobe", nprobe)
+    centroids, shares = _train(corpus.select("id", "embedding"), n_lists, sample, iters, seed)
+    return Index(centroids, assign(corpus, centroids), nprobe, shares)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

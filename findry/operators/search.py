@@ -22,7 +22,7 @@ def find_nearest(corpus: DataFrame, queries: DataFrame, k: int, metric: str,
     check_count("k", k)
     check_metric(metric)
     rows = filters.keep(corpus, filter, promoted_keys=promoted_keys)
-    wanted = queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull())
+    wanted = queries.select("query_id", "embedding")
     if centroids is None:
         return topk.nearest_rows(rows.select("id", "embedding"), wanted, k, metric)
     wanted = ivf.probe(wanted, centroids, nprobe, default_nprobe)

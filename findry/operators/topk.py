@@ -48,22 +48,26 @@ class Side:
     dim: int | None = None
 
 
-def measure(frame: DataFrame, width: str, budget: int = BROADCAST_BYTES,
-            per_row: int = 0) -> Side:
+def measure(frame: DataFrame, width: str, budget: int = BROADCAST_BYTES, per_row: int = 0,
+            even: bool = True) -> Side:
     """Fetch a side if it is within ``budget`` bytes, else only count it.
 
     ``width`` names the array column whose elements take eight bytes each; ``per_row``
-    adds what else a row costs.
+    adds what else a row costs.  Arrays of one length (``even``) are measured on the
+    first rows, so that counting a large table does not read its vectors.
     """
     first = frame.limit(FIRST_LOOK_ROWS + 1).toArrow()
-    lengths = pc.list_value_length(first.column(width))
-    dim = pc.max(lengths).as_py() or 0
-    if first.num_rows <= FIRST_LOOK_ROWS:
-        size = first.num_rows * (8 * dim + per_row)
-        return Side(frame, first if size <= budget else None, first.num_rows, dim)
-    n, dim = frame.agg(F.count("*"), F.max(F.size(width))).first()
-    small = n * (8 * dim + per_row) <= budget
-    return Side(frame, frame.toArrow() if small else None, n, dim)
+    dim = pc.max(pc.list_value_length(first.column(width))).as_py() or 0
+    n = first.num_rows
+    if n > FIRST_LOOK_ROWS:
+        if even:
+            n = frame.count()
+        else:
+            n, dim = frame.agg(F.count("*"), F.max(F.size(width))).first()
+    if n * (8 * dim + per_row) > budget:
+        return Side(frame, None, n, dim)
+    local = first if n <= FIRST_LOOK_ROWS else frame.toArrow()
+    return Side(frame, local.filter(pc.is_valid(local.column(width))), n, dim)
 
 
 def best_per_query(partials: DataFrame, k: int) -> DataFrame:
@@ -133,7 +137,6 @@ def nearest_rows(corpus: DataFrame, queries: DataFrame, k: int, metric: str,
     only sees the rows of its clusters.
     """
     probed = "cluster" in corpus.columns
-    corpus = corpus.filter(F.col("embedding").isNotNull())
     if probed:
         corpus = corpus.filter(F.col("cluster").isNotNull())
     side = measure(queries, "embedding", budget, per_row=24 * k)
@@ -187,7 +190,8 @@ def _queries_travel(corpus, side: Side, k, metric, probed) -> DataFrame:
 
     query_type = side.frame.schema["query_id"].dataType
     columns = ["id", "embedding"] + (["cluster"] if probed else [])
-    if not side.rows:
+    corpus = corpus.filter(F.col("embedding").isNotNull())
+    if not side.local.num_rows:
         corpus = corpus.limit(0)
     return scan_with(corpus.select(*columns), shared, start, query_type)
 
@@ -214,7 +218,7 @@ def _table_travels(rows: Side, queries, k, metric, probed) -> DataFrame:
                 yield out
 
     schema = _partial_schema(queries.schema["query_id"].dataType, rows.frame.schema["id"].dataType)
-    return queries.mapInArrow(run, schema)
+    return queries.filter(F.col("embedding").isNotNull()).mapInArrow(run, schema)
 
 
 def into_blocks(frame: DataFrame, key: str, blocks, other_blocks, mine: str,
@@ -254,7 +258,8 @@ def meet(queries: DataFrame, table: DataFrame, pair: list[str], start: Callable,
 def _blocks_meet(rows: Side, side: Side, k, metric, probed, block_bytes) -> DataFrame:
     """Cut both sides into blocks and score every pair of blocks that share a cluster."""
     per_block = max(1, block_bytes // (8 * max(1, rows.dim)))
-    corpus, queries, dim = rows.frame, side.frame, rows.dim
+    corpus, queries = [f.filter(F.col("embedding").isNotNull()) for f in (rows.frame, side.frame)]
+    dim = rows.dim
     if probed:
         queries = queries.withColumn("cluster", F.explode("clusters")).drop("clusters")
         # How many blocks each list needs: one row per list, and the lists were broadcast

@@ -19,9 +19,7 @@ from findry.schema import Columns, corpus_from_columns, corpus_schema
 from findry.sources.lineage import cut_lineage
 
 UNASSIGNED = -1
-ROWS_PER_FILE = 500_000
-# Rows whose lists are counted to lay out the files of an index.
-LAYOUT_ROWS = 1_000_000
+ROWS_PER_FILE = 100_000
 
 
 def read_table(spark: SparkSession, path: str, columns: Columns = Columns(),
@@ -69,21 +67,30 @@ def read_index(spark: SparkSession, path: str, nprobe: int = ivf.DEFAULT_NPROBE)
     return None if centroids is None else Index(centroids, read_rows(spark, path), nprobe)
 
 
-def _spread(rows: DataFrame, total: int, rows_per_file: int) -> DataFrame:
-    """Group rows by list for writing, a large list over as many files as it needs.
+def _save(rows: DataFrame, path: str, rows_per_file: int, mode: str,
+          shares: DataFrame | None = None, total: int | None = None) -> None:
+    """Write rows by list, a large list over as many tasks and files as it needs.
 
-    List sizes come from a sample: they only shape files, never which rows are written.
+    ``shares`` of the lists only shape files, never which rows are written; without them
+    the lists are counted.
     """
-    share = min(1.0, LAYOUT_ROWS / max(1, total))
-    seen = rows if share == 1.0 else rows.sample(share, seed=7)
-    sizes = seen.groupBy("cluster").agg(F.count("*").alias("n")).select(
-        "cluster",
-        F.greatest(F.lit(1), F.ceil(F.col("n") / (share * rows_per_file))).alias("__files"))
-    slot = F.pmod(F.xxhash64("id"), F.coalesce("__files", F.lit(1)))
+    total = rows.count() if total is None else total
+    if shares is None:
+        shares = rows.groupBy("cluster").agg((F.count("*") / F.lit(max(1, total))).alias("share"))
+    slots = shares.select("cluster", F.greatest(
+        F.lit(1), F.ceil(F.col("share") * total / rows_per_file)).alias("__slots"))
+    slot = F.pmod(F.xxhash64("id"), F.coalesce("__slots", F.lit(1)))
     # One row per list.
-    return (rows.join(F.broadcast(sizes), "cluster", "left")
-            .withColumn("__slot", slot)
-            .repartition("cluster", "__slot").drop("__files", "__slot"))
+    (rows.join(F.broadcast(slots), "cluster", "left").withColumn("__slot", slot)
+     .repartition(max(1, -(-total // rows_per_file)), "cluster", "__slot")
+     .drop("__slots", "__slot").sortWithinPartitions("cluster", "id")
+     .write.partitionBy("cluster").mode(mode)
+     .option("maxRecordsPerFile", rows_per_file)
+     .option("partitionOverwriteMode", "dynamic")
+     # Lets a look-up by id skip the files that lack it.
+     .option("parquet.bloom.filter.enabled#id", "true")
+     .option("parquet.bloom.filter.expected.ndv#id", rows_per_file)
+     .parquet(f"{path}/rows"))
 
 
 def _standard(rows: DataFrame) -> DataFrame:
@@ -99,14 +106,12 @@ def _standard(rows: DataFrame) -> DataFrame:
 def write_rows(rows: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE,
                mode: str = "errorifexists") -> None:
     """Write a corpus folder's rows, partitioned by list and sorted by id in each file."""
-    rows = _standard(rows)
-    (_spread(rows, rows.count(), rows_per_file).sortWithinPartitions("cluster", "id")
-     .write.partitionBy("cluster").mode(mode).parquet(f"{path}/rows"))
+    _save(_standard(rows), path, rows_per_file, mode)
 
 
 def write_index(index: Index, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write an index to a new folder: its centroids and its rows by list."""
-    write_rows(index.rows, path, rows_per_file)
+    _save(_standard(index.rows), path, rows_per_file, "errorifexists", index.shares)
     index.centroids.write.parquet(f"{path}/centroids")
 
 
@@ -172,9 +177,7 @@ def _rewrite(spark, path, rows, ids, new) -> None:
         kept = kept.unionByName(new)
     # The lists are replaced while they are read from, so their new content is fixed first.
     kept = cut_lineage(kept)
-    (_spread(kept, kept.count(), ROWS_PER_FILE).sortWithinPartitions("cluster", "id")
-     .write.partitionBy("cluster").mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").parquet(f"{path}/rows"))
+    _save(kept, path, ROWS_PER_FILE, "overwrite")
     left = {r[0] for r in kept.select("cluster").distinct().collect()}
     for cluster in sorted(set(touched) - left):
         # A list that lost its last row is not part of the write above.
