@@ -33,10 +33,10 @@ _INT64 = 2 ** 63
 
 
 class _JsonValue:
-    """One key of a JSON text column, read by type."""
+    """One key of a parsed JSON document, read by type."""
 
-    def __init__(self, metadata: Column, key: str):
-        self.parsed = F.try_parse_json(metadata)
+    def __init__(self, parsed: Column, key: str):
+        self.parsed = parsed
         self.path = f"$.{key}"
         self.kind = F.schema_of_variant(self._get("variant"))
 
@@ -156,26 +156,31 @@ def _clause(key, value, op, operand) -> Column:
     return _compare(value, operand, _RANGE[op])
 
 
-def clauses(flt: Mapping | None, metadata: str = "metadata",
-            promoted: Mapping[str, tuple[str, T.DataType]] | None = None) -> list[Column]:
-    """The filter as a list of conditions; raises on anything it cannot honour."""
-    out = []
-    for key, condition in (flt or {}).items():
-        check_name(key)
-        if promoted and key in promoted:
-            value = _PlainValue(*promoted[key])
-        else:
-            value = _JsonValue(F.col(metadata), key)
-        if isinstance(condition, Mapping):
-            out += [_clause(key, value, op, operand) for op, operand in condition.items()]
-        else:
-            out.append(_clause(key, value, "$eq", condition))
-    return out
-
-
-def predicate(flt: Mapping | None, metadata: str = "metadata", promoted=None) -> Column | None:
-    """The filter as one non-null condition, or None if it has no clause."""
-    parts = clauses(flt, metadata, promoted)
+def _clauses(value, key, condition) -> list[Column]:
+    if not isinstance(condition, Mapping):
+        condition = {"$eq": condition}
+    return [_clause(key, value, op, operand) for op, operand in condition.items()]
+
+
+def predicate(flt: Mapping | None, metadata: str = "metadata",
+              promoted: Mapping[str, tuple[str, T.DataType]] | None = None) -> Column | None:
+    """The filter as one condition that is never null, or None if it has no clause.
+
+    Raises on anything it cannot honour.  The metadata is parsed once a row, however many
+    keys and operators look at it.
+    """
+    promoted = promoted or {}
+    flt = {check_name(key): condition for key, condition in (flt or {}).items()
+           if not (isinstance(condition, Mapping) and not condition)}
+    plain = {key: c for key, c in flt.items() if key in promoted}
+    parsed = {key: c for key, c in flt.items() if key not in promoted}
+    parts = [part for key, c in plain.items() for part in _clauses(_PlainValue(*promoted[key]), key, c)]
+    if parsed:
+        parts.append(F.exists(
+            F.array(F.try_parse_json(F.col(metadata))),
+            lambda document: reduce(lambda a, b: a & b, [
+                part for key, c in parsed.items()
+                for part in _clauses(_JsonValue(document, key), key, c)])))
     return reduce(lambda a, b: a & b, parts) if parts else None
 
 

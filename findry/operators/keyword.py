@@ -165,7 +165,7 @@ def _scan(documents, side: topk.Side, k) -> DataFrame:
     def start(values):
         return kernels.BestMatches(values["terms"], k), _add
 
-    return topk.scan_with(documents, shared, start, side.frame.schema["query_id"].dataType)
+    return topk.scan_with(documents, "terms", shared, start, side.frame.schema["query_id"].dataType)
 
 
 def _blocks(documents, side: topk.Side, k) -> DataFrame:

@@ -106,17 +106,23 @@ def _partial_batch(best: kernels.BestRows, query_ids: pa.Array, part: int):
     })
 
 
-def scan_with(table: DataFrame, shared: dict, start: Callable, query_type: T.DataType) -> DataFrame:
-    """Scan ``table`` in place, keeping each task's best rows.
+def scan_with(table: DataFrame, needed: str, shared: dict, start: Callable,
+              query_type: T.DataType) -> DataFrame:
+    """Scan ``table`` in place, keeping each task's best rows that have ``needed``.
 
     ``start(shared)`` returns the keeper and its ``add(keeper, batch)`` step.
     """
     cast = table.sparkSession.sparkContext.broadcast(shared)
 
+    def held(batch):
+        # Dropped here and not by a filter, which would compute a computed column twice.
+        return batch.filter(pc.is_valid(batch.column(needed)))
+
     def run(batches):
         values = cast.value
         best, add = start(values)
         for batch in batches:
+            batch = held(batch)
             if batch.num_rows:
                 add(best, batch)
         out = _partial_batch(best, values["query_ids"], TaskContext.get().partitionId())
@@ -137,8 +143,6 @@ def nearest_rows(corpus: DataFrame, queries: DataFrame, k: int, metric: str,
     only sees the rows of its clusters.
     """
     probed = "cluster" in corpus.columns
-    if probed:
-        corpus = corpus.filter(F.col("cluster").isNotNull())
     side = measure(queries, "embedding", budget, per_row=24 * k)
     if side.local is not None:
         partials = _queries_travel(corpus, side, k, metric, probed)
@@ -190,23 +194,23 @@ def _queries_travel(corpus, side: Side, k, metric, probed) -> DataFrame:
 
     query_type = side.frame.schema["query_id"].dataType
     columns = ["id", "embedding"] + (["cluster"] if probed else [])
-    corpus = corpus.filter(F.col("embedding").isNotNull())
     if not side.local.num_rows:
         corpus = corpus.limit(0)
-    return scan_with(corpus.select(*columns), shared, start, query_type)
+    return scan_with(corpus.select(*columns), "embedding", shared, start, query_type)
 
 
 def _table_travels(rows: Side, queries, k, metric, probed) -> DataFrame:
     shared = {"ids": kernels.one_array(rows.local.column("id")),
               "matrix": kernels.to_matrix(rows.local.column("embedding"), rows.dim)}
     if probed:
-        shared["clusters"] = rows.local.column("cluster").to_numpy()
+        shared["clusters"] = pc.fill_null(rows.local.column("cluster"), -1).to_numpy()
     cast = queries.sparkSession.sparkContext.broadcast(shared)
 
     def run(batches):
         values = cast.value
         part = TaskContext.get().partitionId()
         for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column("embedding")))
             if not batch.num_rows or not len(values["matrix"]):
                 continue
             best = kernels.NearestVectors(
@@ -218,7 +222,7 @@ def _table_travels(rows: Side, queries, k, metric, probed) -> DataFrame:
                 yield out
 
     schema = _partial_schema(queries.schema["query_id"].dataType, rows.frame.schema["id"].dataType)
-    return queries.filter(F.col("embedding").isNotNull()).mapInArrow(run, schema)
+    return queries.mapInArrow(run, schema)
 
 
 def into_blocks(frame: DataFrame, key: str, blocks, other_blocks, mine: str,

@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
 def cut_lineage(frame: DataFrame) -> DataFrame:
-    """Checkpoint a frame in the cluster's shared checkpoint folder.
+    """Write a frame once to the cluster's shared checkpoint folder and read it back.
 
-    A folder of our own is set only on a local master that names none.
+    A written table, unlike a checkpoint, computes the frame only once.  A folder of our
+    own is set only on a local master that names none.
     """
     spark = frame.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoints-")
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(folder)
-    return frame.checkpoint()
+    path = f"{folder}/fixed-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

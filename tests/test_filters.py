@@ -88,7 +88,7 @@ def test_metadata_without_keys(spark, bad):
 ])
 def test_refused_before_any_job(bad):
     with pytest.raises(ValueError):
-        filters.clauses(bad)
+        filters.predicate(bad)
 
 
 def test_no_clause_never_deletes(table):
