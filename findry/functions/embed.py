@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from findry.functions.text import WORD, words
+from findry.functions.text import NOT_WORD, words
 
 Embedder = Callable[[Sequence[str]], Iterable[Sequence[float]]]
 
@@ -27,7 +27,10 @@ def embed(text: Column, embedder: Embedder) -> Column:
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def run(batch: pa.Array) -> pa.Array:
         texts = [t or "" for t in batch.to_pylist()]
-        vectors = np.asarray(list(embedder(texts)), np.float64)
+        vectors = embedder(texts)
+        if not isinstance(vectors, np.ndarray):
+            vectors = np.array(list(vectors))
+        vectors = vectors.astype(np.float64, copy=False)
         if vectors.shape[0] != len(texts) or vectors.ndim != 2:
             raise ValueError("the embedder must return one equal-length vector per text")
         dim = vectors.shape[1]
@@ -44,14 +47,16 @@ class HashedWords:
         self.dim = dim
 
     def __call__(self, texts: Sequence[str]) -> np.ndarray:
-        bucket: dict[str, int] = {}
-        out = np.zeros((len(texts), self.dim))
-        for at, text in enumerate(texts):
-            for word in re.findall(WORD, text.lower()):
-                if word not in bucket:
-                    bucket[word] = int(hashlib.md5(word.encode()).hexdigest(), 16) % self.dim
-                out[at, bucket[word]] += 1.0
-        return out
+        pieces = pc.split_pattern_regex(pa.array([t.lower() for t in texts], pa.string()), NOT_WORD)
+        row = np.repeat(np.arange(len(texts)), pc.list_value_length(pieces).to_numpy())
+        coded = pieces.flatten().dictionary_encode()
+        # The hash of each distinct word is taken once; gaps at the ends split off empty ones.
+        bucket = np.array([int(hashlib.md5(w.encode()).hexdigest(), 16) % self.dim if w else -1
+                           for w in coded.dictionary.to_pylist()], np.int64)
+        bucket = bucket[coded.indices.to_numpy()] if len(bucket) else np.empty(0, np.int64)
+        real = bucket >= 0
+        counts = np.bincount(row[real] * self.dim + bucket[real], minlength=len(texts) * self.dim)
+        return counts.reshape(len(texts), self.dim).astype(np.float64)
 
 
 def hashed_word_counts(table: DataFrame, id_column: str, text_column: str,

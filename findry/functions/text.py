@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = r"([a-z0-9]+)"
+NOT_WORD = r"[^a-z0-9]+"
 
 # The default full-text stop words of the InnoDB storage engine,
 # as printed in the MySQL reference manual.

@@ -101,15 +101,16 @@ def probe(queries: DataFrame, centroids: DataFrame, nprobe: int | None = None,
     return _with_lists(queries.drop("clusters"), "query_id", centroids, n)
 
 
+def _list_means(assigned: DataFrame) -> DataFrame:
+    """Mean vector of each list; partial means are formed before the shuffle."""
+    vector = array_to_vector(F.col("embedding").cast("array<double>"))
+    return (assigned.groupBy(F.col("cluster").alias("cid")).agg(Summarizer.mean(vector).alias("mean"))
+            .select("cid", vector_to_array("mean").alias("mean")))
+
+
 def kmeans_step(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
     """One Lloyd step: move each centroid to the mean of its rows; an empty one stays."""
-    means = (
-        assign(vectors.filter(F.col("embedding").isNotNull()), centroids)
-        .groupBy(F.col("cluster").alias("cid"))
-        .agg(Summarizer.mean(array_to_vector(F.col("embedding").cast("array<double>")))
-             .alias("mean"))
-        .select("cid", vector_to_array("mean").alias("mean"))
-    )
+    means = _list_means(assign(vectors.filter(F.col("embedding").isNotNull()), centroids))
     return centroids.join(means, "cid", "left").select(
         "cid", F.coalesce("mean", "centroid").alias("centroid"))
 
@@ -169,15 +170,26 @@ def _train(vectors, n_lists, sample, iters, seed) -> tuple[DataFrame, DataFrame]
     centres = kernels.to_matrix(starts.column("embedding"))
     if k < rows:
         for _ in range(iters):
-            moved = kmeans_step(chosen, _centroid_frame(spark, centres)).toArrow()
-            order = np.argsort(moved.column("cid").to_numpy())
-            centres = kernels.to_matrix(moved.column("centroid"))[order]
+            centres = _moved(chosen, centres)
     centroids = _centroid_frame(spark, centres)
     shares = assign(chosen, centroids).groupBy("cluster").agg(
         (F.count("*") / rows).alias("share"))
     return centroids, shares
 
 
+def _moved(vectors: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """One Lloyd step on centroids held by the driver."""
+    if centres.nbytes <= topk.BROADCAST_BYTES:
+        lists = _lists_udf(vectors.sparkSession, np.arange(len(centres)), centres, 1)
+        assigned = vectors.select("embedding", lists(F.col("embedding"))[0].alias("cluster"))
+    else:
+        assigned = assign(vectors, _centroid_frame(vectors.sparkSession, centres))
+    means = _list_means(assigned).toArrow()
+    centres = centres.copy()
+    centres[means.column("cid").to_numpy()] = kernels.to_matrix(means.column("mean"))
+    return centres
+
+
 def _centroid_frame(spark: SparkSession, centres: np.ndarray) -> DataFrame:
     dim = centres.shape[1]
     lists = pa.ListArray.from_arrays(

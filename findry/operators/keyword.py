@@ -38,11 +38,6 @@ def postings(corpus: DataFrame) -> DataFrame:
             .groupBy("term", "id").agg(F.count("*").cast("int").alias("tf")))
 
 
-def _index_terms(term, min_length: int, stop_words):
-    kept = F.length(term) >= min_length
-    return kept & ~term.isin(sorted(set(stop_words))) if stop_words else kept
-
-
 def keyword_search(corpus: DataFrame, queries: DataFrame, k: int = 4,
                    filter: Mapping | None = None, scorer: str = "overlap",
                    index: DataFrame | None = None, columns=(), *,
@@ -94,11 +89,11 @@ def _weighted(corpus, queries, index, min_length, stop_words) -> DataFrame:
     asked = queries.select(
         "query_id",
         F.explode(F.array_distinct(index_words(F.col("text"), min_length, stop_words))).alias("term"))
+    # Short and stop words are gone from the asked words, so the held ones need no check.
     if index is not None:
-        held = index.filter(_index_terms(F.col("term"), min_length, stop_words)).select("term")
+        held = index.select("term")
     else:
-        held = corpus.select(F.explode(
-            F.array_distinct(index_words(F.col("content"), min_length, stop_words))).alias("term"))
+        held = corpus.select(F.explode(tokens(F.col("content"))).alias("term"))
     vocabulary = asked.select("term").distinct()
     if vocabulary.count() <= topk.BROADCAST_ROWS:
         vocabulary = F.broadcast(vocabulary)

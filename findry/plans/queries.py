@@ -20,6 +20,7 @@ from findry.operators import corpus as ops
 from findry.operators import hybrid, ivf, keyword, mmr, search
 from findry.operators.context import assemble_context
 from findry.schema import Columns, corpus_from_columns
+from findry.sources.storage import spread
 
 QUERIES: dict = {}
 
@@ -69,8 +70,19 @@ def documents(spark, folder) -> DataFrame:
         metadata_column().alias("metadata"))
 
 
+def spread_documents(spark, folder) -> DataFrame:
+    """The documents for work that is costly per text."""
+    return spread(read(spark, folder, "documents"), "doc_id")
+
+
+def texts(spark, folder) -> DataFrame:
+    return spread_documents(spark, folder).select(
+        F.col("doc_id").alias("id"), F.col("text").alias("content"),
+        metadata_column().alias("metadata"))
+
+
 def embedded_documents(spark, folder) -> DataFrame:
-    return documents(spark, folder).withColumn("embedding", embed(F.col("content"), HashedWords()))
+    return texts(spark, folder).withColumn("embedding", embed(F.col("content"), HashedWords()))
 
 
 def text_queries(spark, folder) -> DataFrame:
@@ -134,7 +146,7 @@ def vector_from_json(spark, folder):
 
 @query
 def embed_hash_bow(spark, folder):
-    return hashed_word_counts(read(spark, folder, "documents"), "doc_id", "text")
+    return hashed_word_counts(spread_documents(spark, folder), "doc_id", "text")
 
 
 @query
@@ -173,7 +185,7 @@ def add_texts(spark, folder):
 
 def source_centroids(spark, folder) -> DataFrame:
     """Mean word-count vector of each source, numbered by name."""
-    docs = read(spark, folder, "documents").select(
+    docs = spread_documents(spark, folder).select(
         F.regexp_extract("source", r"(\d+)", 1).cast("int").alias("cid"),
         embed(F.col("text"), HashedWords()).alias("v"))
     return docs.groupBy("cid").agg(Summarizer.mean(array_to_vector("v")).alias("m")).select(
@@ -307,23 +319,23 @@ relevances("relevance_dot", "dot")
 
 @query
 def tokenize(spark, folder):
-    return read(spark, folder, "documents").select("doc_id", F.explode(tokens(F.col("text"))).alias("token"))
+    return spread_documents(spark, folder).select("doc_id", F.explode(tokens(F.col("text"))).alias("token"))
 
 
 @query
 def postings(spark, folder):
-    return keyword.postings(documents(spark, folder))
+    return keyword.postings(texts(spark, folder))
 
 
 @query
 def keyword_overlap(spark, folder):
-    found = keyword.keyword_search(documents(spark, folder), text_queries(spark, folder), 10)
+    found = keyword.keyword_search(texts(spark, folder), text_queries(spark, folder), 10)
     return found.select("query_id", "id", "rank", "score")
 
 
 @query
 def keyword_tfidf(spark, folder):
-    found = keyword.keyword_search(documents(spark, folder), text_queries(spark, folder), 10,
+    found = keyword.keyword_search(texts(spark, folder), text_queries(spark, folder), 10,
                                    scorer="tfidf")
     return rounded(found.select("query_id", "id", "rank", "score"), "score")
 
@@ -331,7 +343,7 @@ def keyword_tfidf(spark, folder):
 @query
 def keyword_indexed(spark, folder):
     """The same ranking from a postings table in place of the texts."""
-    docs = documents(spark, folder)
+    docs = texts(spark, folder)
     found = keyword.keyword_search(docs, text_queries(spark, folder), 10, scorer="tfidf",
                                    index=keyword.postings(docs))
     return rounded(found.select("query_id", "id", "rank", "score"), "score")

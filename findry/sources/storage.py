@@ -28,6 +28,16 @@ def read_table(spark: SparkSession, path: str, columns: Columns = Columns(),
     return corpus_from_columns(spark.read.format(format).load(path), columns)
 
 
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """Spread a table that is stored in fewer pieces than there are cores.
+
+    For a table just read, ahead of costly work on each row.  A large table has more
+    pieces than cores and is left as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+
+
 def _read(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     try:
         reader = spark.read if schema is None else spark.read.schema(schema)
