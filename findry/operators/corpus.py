@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from findry.functions import filters
 from findry.functions.embed import Embedder, embed
-from findry.operators.topk import BROADCAST_ROWS
+from findry.operators.topk import broadcast_if_small
 
 
 def all_embeddings(corpus: DataFrame) -> DataFrame:
@@ -62,11 +62,6 @@ def with_defaults(rows: DataFrame, id_from: str = "uuid") -> DataFrame:
                        F.coalesce("metadata", F.lit("{}")).alias("metadata"), *others)
 
 
-def broadcast_if_small(frame: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast for a narrow side counted to be small; else leave Spark to shuffle."""
-    return F.broadcast(frame) if frame.count() <= most_rows else frame
-
-
 def latest(batch: DataFrame, order_by: str | None = None) -> DataFrame:
     """One row per id, the last by ``order_by`` (by position in the batch if None).
 

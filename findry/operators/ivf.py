@@ -54,7 +54,8 @@ def _lists_udf(spark: SparkSession, cids: np.ndarray, matrix: np.ndarray, n: int
             pa.array(ends, pa.int32(), mask=np.append(~valid, False)),
             found if found is not None else pa.array([], pa.int32()))
 
-    return nearest_lists
+    # Keeps a condition on the list from being pushed below and computing it a second time.
+    return nearest_lists.asNondeterministic()
 
 
 def _local(centroids: DataFrame) -> tuple[topk.Side, tuple | None]:

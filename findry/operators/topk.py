@@ -70,6 +70,11 @@ def measure(frame: DataFrame, width: str, budget: int = BROADCAST_BYTES, per_row
     return Side(frame, local.filter(pc.is_valid(local.column(width))), n, dim)
 
 
+def broadcast_if_small(frame: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast for a narrow side counted to be small; else leave Spark to shuffle."""
+    return F.broadcast(frame) if frame.count() <= most_rows else frame
+
+
 def best_per_query(partials: DataFrame, k: int) -> DataFrame:
     """Merge ``(query_id, id, distance, part)`` rows; ranks by distance, then id."""
     fan = int(partials.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -266,14 +271,13 @@ def _blocks_meet(rows: Side, side: Side, k, metric, probed, block_bytes) -> Data
     dim = rows.dim
     if probed:
         queries = queries.withColumn("cluster", F.explode("clusters")).drop("clusters")
-        # How many blocks each list needs: one row per list, and the lists were broadcast
-        # before as centroids.
+        # How many blocks each list needs: one row per list.
         sizes = (corpus.groupBy("cluster").agg(F.count("*").alias("n"))
                  .join(queries.groupBy("cluster").agg(F.count("*").alias("m")), "cluster")
                  .select("cluster", F.ceil(F.col("n") / per_block).alias("row_blocks"),
                          F.ceil(F.col("m") / per_block).alias("query_blocks")))
-        corpus = corpus.join(F.broadcast(sizes), "cluster")
-        queries = queries.join(F.broadcast(sizes), "cluster")
+        sizes = broadcast_if_small(sizes)
+        corpus, queries = corpus.join(sizes, "cluster"), queries.join(sizes, "cluster")
         counts = F.col("row_blocks"), F.col("query_blocks")
         pair = ["cluster", "row_block", "query_block"]
     else:

@@ -19,6 +19,7 @@ from findry.functions.text import tokens
 from findry.operators import corpus as ops
 from findry.operators import hybrid, ivf, keyword, mmr, search
 from findry.operators.context import assemble_context
+from findry.operators.topk import broadcast_if_small
 from findry.schema import Columns, corpus_from_columns
 from findry.sources.storage import spread
 
@@ -245,8 +246,7 @@ def filter_range(spark, folder):
 
 def to_own_mean(spark, folder) -> DataFrame:
     means = label_means(spark, folder).withColumnRenamed("embedding", "mean")
-    # One row per label, ten in all.
-    return vectors(spark, folder).join(F.broadcast(means), "label")
+    return vectors(spark, folder).join(broadcast_if_small(means), "label")
 
 
 def distances(name, metric):

@@ -15,6 +15,7 @@ from findry.functions.text import term_bucket
 from findry.operators import corpus as ops
 from findry.operators import ivf
 from findry.operators.ivf import Index
+from findry.operators.topk import broadcast_if_small
 from findry.schema import Columns, corpus_from_columns, corpus_schema
 from findry.sources.lineage import cut_lineage
 
@@ -90,8 +91,7 @@ def _save(rows: DataFrame, path: str, rows_per_file: int, mode: str,
     slots = shares.select("cluster", F.greatest(
         F.lit(1), F.ceil(F.col("share") * total / rows_per_file)).alias("__slots"))
     slot = F.pmod(F.xxhash64("id"), F.coalesce("__slots", F.lit(1)))
-    # One row per list.
-    (rows.join(F.broadcast(slots), "cluster", "left").withColumn("__slot", slot)
+    (rows.join(broadcast_if_small(slots), "cluster", "left").withColumn("__slot", slot)
      .repartition(max(1, -(-total // rows_per_file)), "cluster", "__slot")
      .drop("__slots", "__slot").sortWithinPartitions("cluster", "id")
      .write.partitionBy("cluster").mode(mode)
@@ -172,7 +172,7 @@ def delete_matching(spark: SparkSession, path: str, filter) -> None:
 
 
 def _rewrite(spark, path, rows, ids, new) -> None:
-    ids = ops.broadcast_if_small(ids)
+    ids = broadcast_if_small(ids)
     touched = [r[0] for r in rows.select("id", "cluster").join(ids, "id", "left_semi")
                .select("cluster").distinct().collect()]
     if new is not None:
