@@ -49,22 +49,17 @@ def knn_join(corpus: DataFrame, queries: DataFrame, k: int = 4, metric: str = "c
 
 
 def knn_single(corpus: DataFrame, vector: Sequence[float], k: int = 4, metric: str = "cosine",
-               filter: Mapping | None = None,
+               filter: Mapping | None = None, columns: Sequence[str] = (), *,
                promoted_keys: Mapping[str, str] | None = None) -> DataFrame:
-    """The ``k`` corpus rows nearest to one vector, without leaving the JVM."""
+    """The ``k`` corpus rows nearest to one vector, closest first."""
     check_count("k", k)
+    check_metric(metric)
     rows = filters.keep(corpus, filter, promoted_keys=promoted_keys)
-    column = F.col("embedding")
-    away = F.when(
-        F.size(column) == len(vector), dist.distance(metric, column, dist.vector(vector))
-    ).otherwise(F.raise_error(F.lit(f"embedding is not of length {len(vector)}")).cast("double"))
-    return (
-        rows.filter(column.isNotNull())
-        .withColumn("distance", away)
-        .withColumn("score", dist.score(F.col("distance")))
-        .drop("embedding")
-        .orderBy("distance", "id").limit(k)
-    )
+    found = topk.nearest_to(rows.select("id", "embedding"), vector, k, metric)
+    found = found.withColumn("score", dist.score(F.col("distance")))
+    if columns:
+        found = topk.look_up(found, corpus, list(columns), k).orderBy("distance", "id")
+    return found
 
 
 def embed_queries(queries: DataFrame, embedder: Embedder) -> DataFrame:

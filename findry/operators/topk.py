@@ -16,7 +16,7 @@ every task of the scan.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -160,6 +160,15 @@ def nearest_rows(corpus: DataFrame, queries: DataFrame, k: int, metric: str,
     return best_per_query(partials, k), side.rows * k
 
 
+def nearest_to(corpus: DataFrame, vector: Sequence[float], k: int, metric: str) -> DataFrame:
+    """``(id, distance)`` of the ``k`` corpus rows nearest to one vector, closest first."""
+    one = corpus.sparkSession.createDataFrame([], "query_id int, embedding array<double>")
+    local = pa.table({"query_id": pa.array([0], pa.int32()),
+                      "embedding": pa.array([[float(x) for x in vector]], pa.list_(pa.float64()))})
+    partials = _queries_travel(corpus, Side(one, local, 1, len(vector)), k, metric, False)
+    return best_per_query(partials, k).select("id", "distance").orderBy("distance", "id").limit(k)
+
+
 def look_up(results: DataFrame, corpus: DataFrame, columns: list[str], most_rows: int) -> DataFrame:
     """Add columns of the found rows.
 

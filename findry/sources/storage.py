@@ -107,7 +107,6 @@ def _standard(rows: DataFrame) -> DataFrame:
     if "cluster" not in rows.columns:
         rows = rows.withColumn("cluster", F.lit(None).cast("int"))
     rows = rows.withColumn("cluster", F.coalesce(F.col("cluster").cast("int"), F.lit(UNASSIGNED)))
-    rows = rows.withColumn("embedding", F.col("embedding").cast("array<double>"))
     first = [f.name for f in corpus_schema()]
     others = [c for c in rows.columns if c not in (*first, "cluster")]
     return rows.select(*first, *others, "cluster")
@@ -143,9 +142,10 @@ def upsert_rows(spark: SparkSession, path: str, batch: DataFrame,
     rows = read_rows(spark, path)
     new = _standard(new)
     if rows is not None:
-        absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields
-                  if f.name not in new.columns]
-        new = new.select("*", *absent).select(*rows.columns)
+        # Types follow the stored rows; vectors may be kept as floats to halve the table.
+        new = new.select(*[
+            (F.col(f.name) if f.name in new.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in rows.schema.fields])
     # Fixed before anything is replaced, so that a retry writes the same rows.
     new = cut_lineage(new)
     if rows is None:
@@ -209,5 +209,17 @@ def write_postings(postings: DataFrame, path: str, files: int | None = None) ->
      .write.partitionBy("bucket").parquet(path))
 
 
+def ensure_postings(corpus: DataFrame, path: str) -> DataFrame:
+    """The postings table of a corpus, built on the first call and only read after that."""
+    from findry.operators import keyword
+
+    spark = corpus.sparkSession
+    found = read_postings(spark, path)
+    if found is None:
+        write_postings(keyword.postings(corpus), path)
+        found = read_postings(spark, path)
+    return found
+
+
 def read_postings(spark: SparkSession, path: str) -> DataFrame | None:
     return _read(spark, path)

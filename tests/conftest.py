@@ -10,6 +10,6 @@ from findry.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "4g", "tests")
+    session = local_session(8, "4g", "tests")
     yield session
     session.stop()

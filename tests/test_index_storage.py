@@ -194,6 +194,17 @@ def test_upserts_move_rows_between_lists(spark, blobs, tmp_path):
     assert len(stored(spark, path)) == len(before) - len(gone) + 1
 
 
+def test_float_vectors_stay_floats(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "x", "{}", [1.0, 0.5])], SCHEMA).withColumn(
+        "embedding", F.col("embedding").cast("array<float>"))
+    path = str(tmp_path / "f")
+    storage.write_rows(rows, path)
+    storage.upsert_rows(spark, path, spark.createDataFrame([("b", "y", "{}", [0.25, 2.0])], SCHEMA))
+    back = storage.read_rows(spark, path)
+    assert back.schema["embedding"].dataType.simpleString() == "array<float>"
+    assert {r["id"]: r["embedding"] for r in back.collect()} == {"a": [1.0, 0.5], "b": [0.25, 2.0]}
+
+
 def test_stream_keeps_the_index_current(spark, blobs, tmp_path):
     centres, _, _, index = blobs
     path = str(tmp_path / "ix")

@@ -93,9 +93,13 @@ def test_every_plan_equals_brute_force(hard, metric, plan, monkeypatch):
 def test_column_distances_are_the_same_numbers(hard):
     rows, queries, corpus, _ = hard
     for metric in ("cosine", "dot", "euclidean"):
-        found = search.knn_single(corpus, queries[3][1], 9, metric).collect()
-        want = brute_force(rows, [queries[3]], 9, metric)
-        assert [(r["id"], r["distance"]) for r in found] == [(w[1], w[2]) for w in want]
+        want = [(w[1], w[2]) for w in brute_force(rows, [queries[3]], 9, metric)]
+        away = dist.distance(metric, F.col("embedding"), dist.vector(queries[3][1]))
+        column = corpus.select("id", away.alias("distance")).orderBy("distance", "id").limit(9)
+        assert [tuple(r) for r in column.collect()] == want
+        found = search.knn_single(corpus, queries[3][1], 9, metric, columns=["embedding"]).collect()
+        assert [(r["id"], r["distance"]) for r in found] == want
+        assert all(r["embedding"] == dict(rows)[r["id"]] for r in found)
 
 
 def test_more_wanted_than_rows(spark):
