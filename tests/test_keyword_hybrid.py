@@ -7,7 +7,6 @@ import re
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from findry.functions import kernels
 from findry.functions.text import STOP_WORDS
