@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from findry.llm import simhash
+from findry.llm import additive, rules, simhash
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -20,8 +20,20 @@ def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_quality_rules(spark, folder):
+    found = rules.apply_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                        "n_repeat_words", "base_failed", "kept")
+
+
 @query
 def op4_simhash_near_dedup(spark, folder):
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         "component_id")
+
+
+@query
+def op5_quality_classifier(spark, folder):
+    return additive.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
