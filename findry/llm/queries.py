@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from findry.llm import additive, rules, simhash
+from findry.llm import additive, rules, simhash, spans
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,12 @@ def op1_quality_rules(spark, folder):
                         "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op3_substring_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return spans.clean(docs).select("doc_id", "text", "n_removed", "removed")
+
+
 @query
 def op4_simhash_near_dedup(spark, folder):
     found = simhash.near_duplicates(table(spark, folder, "documents"))
