@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from findry.llm import additive, rules, simhash, spans
+from findry.llm import additive, packing, rules, simhash, spans
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +43,10 @@ def op4_simhash_near_dedup(spark, folder):
 @query
 def op5_quality_classifier(spark, folder):
     return additive.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_packing(spark, folder):
+    pieces = packing.pack(table(spark, folder, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
