@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from findry.llm import additive, packing, rules, simhash, spans
+from findry.llm import additive, bpe, packing, rules, simhash, spans
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,15 @@ def op5_quality_classifier(spark, folder):
     return additive.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op7_bpe_round_trip(spark, folder):
+    coded = bpe.round_trip(table(spark, folder, "documents"))
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 @query
 def op8_packing(spark, folder):
     pieces = packing.pack(table(spark, folder, "documents"))
