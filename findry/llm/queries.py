@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from findry.llm import additive, bpe, packing, rules, simhash, spans
+from findry.llm import additive, bpe, langid, packing, rules, simhash, spans
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,16 @@ def op1_quality_rules(spark, folder):
                         "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op2_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+    model = langid.train(docs.where(~held_out))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred",
+                        "score", "rejected")
+
+
 @query
 def op3_substring_dedup(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
