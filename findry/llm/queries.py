@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from findry.llm import additive, bpe, langid, packing, rules, simhash, spans
+from findry.llm import additive, bpe, langid, packing, rules, simhash, spans, surrogates
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -55,6 +55,13 @@ def op5_quality_classifier(spark, folder):
     return additive.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op6_pii_surrogates(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.pseudonymise(docs).select(
+        "doc_id", "text", F.size("entities").cast("long").alias("n_entities"), "entities")
+
+
 @query
 def op7_bpe_round_trip(spark, folder):
     coded = bpe.round_trip(table(spark, folder, "documents"))
