@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from findry.llm import additive, bpe, langid, packing, rules, simhash, spans, surrogates
+from findry.llm import additive, bpe, langid, packing, rules, shards, simhash, spans, surrogates
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,10 @@ def op8_packing(spark, folder):
     pieces = packing.pack(table(spark, folder, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op10_training_order_shards(spark, folder):
+    written = shards.materialise(table(spark, folder, "documents"))
+    return written.read().select("slot", "shard", "row", "doc_id", "start", "n_tokens",
+                                 F.crc32("ids").alias("ids_crc32"), "valid")
