@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from findry.llm import additive, bpe, langid, packing, rules, shards, simhash, spans, surrogates
+from findry.llm import additive, bpe, graphdedup, langid, packing, rules, shards, simhash, spans, surrogates
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -78,6 +78,12 @@ def op8_packing(spark, folder):
                          "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op9_embedding_near_dedup(spark, folder):
+    found, recall = graphdedup.near_duplicates(table(spark, folder, "embeddings"))
+    return found.withColumn("audited_recall", F.lit(recall))
+
+
 @query
 def op10_training_order_shards(spark, folder):
     written = shards.materialise(table(spark, folder, "documents"))
