@@ -190,6 +190,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group stays: the one with the least doc_id (columns unchanged)."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """``docs`` without all but the least doc_id of each group; columns unchanged.
+
+    A document goes only if no row of its doc_id is the least of its group.  Rows that repeat a
+    doc_id stay or go together; rows without doc_id stay.
+    """
+    gone = (near_duplicates(docs).groupBy("doc_id")
+            .agg(F.max(F.col("doc_id") == F.col("component_id")).alias("least"))
+            .where("not least").select("doc_id"))
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

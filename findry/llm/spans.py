@@ -121,7 +121,7 @@ def _span_rows(batches):
 
 
 def repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(doc_id, removals)``: place and hash of every run that isn't the first of its kind."""
+    """``(doc_id, __removals)``: place and hash of every run that isn't the first of its kind."""
     spans = scratch.keep(
         docs.select(F.col("doc_id").cast("long"), "text")
         .mapInArrow(_span_rows, "h1 long, h2 long, doc_id long, at int, again boolean"), "spans")
@@ -139,7 +139,7 @@ def repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
     within = spans.where("again").select("doc_id", "at", "h1")
     found = scratch.keep(
         later.unionByName(within).where("doc_id is not null").groupBy("doc_id")
-        .agg(F.collect_list(F.struct("at", "h1")).alias("removals")), "found")
+        .agg(F.collect_list(F.struct("at", "h1")).alias("__removals")), "found")
     scratch.drop("spans", "first")
     return found
 
@@ -176,10 +176,10 @@ def clean(docs: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "spans")
     found = repeated(docs, scratch)
-    docs = docs.drop("n_removed", "removed", "removals")
+    docs = docs.drop("n_removed", "removed")
     id_type = docs.schema["doc_id"].dataType
     joined = docs.join(found.withColumn("doc_id", F.col("doc_id").cast(id_type)), "doc_id", "left")
-    joined = joined.select(*docs.columns, "removals")
+    joined = joined.select(*docs.columns, "__removals")
     ranges = T.ArrayType(T.StructType([T.StructField("start", T.LongType()),
                                        T.StructField("end", T.LongType())]))
     schema = T.StructType([*docs.schema.fields, T.StructField("n_removed", T.LongType()),
@@ -191,7 +191,7 @@ def clean(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts, numbers, cuts = [], [], []
             for text, removals in zip(batch.column(place).to_pylist(),
-                                      batch.column("removals").to_pylist()):
+                                      batch.column("__removals").to_pylist()):
                 ranges, n = [], 0
                 if text and removals:
                     text, ranges, n = cut(text, [(r["at"], r["h1"]) for r in removals])

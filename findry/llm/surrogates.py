@@ -322,10 +322,11 @@ def pseudonymise(docs: DataFrame, key: bytes = KEY, exceptions: int = EXCEPTIONS
         else:
             per_row = True
             own = scratch.keep(
-                _mentions(docs).join(again, ["kind", "value"]).distinct().groupBy("row")
-                .agg(F.collect_list(F.struct("kind", "value", "draw")).alias("redrawn")), "own")
-            source = (docs.withColumn("row", F.xxhash64("text")).join(own, "row", "left")
-                      .select(*docs.columns, "redrawn"))
+                _mentions(docs).join(again, ["kind", "value"]).distinct()
+                .groupBy(F.col("row").alias("__row"))
+                .agg(F.collect_list(F.struct("kind", "value", "draw")).alias("__redrawn")), "own")
+            source = (docs.withColumn("__row", F.xxhash64("text")).join(own, "__row", "left")
+                      .select(*docs.columns, "__redrawn"))
     held = spark.sparkContext.broadcast(known)
     spot = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
                          T.StructField("end", T.LongType()),
