@@ -3,7 +3,7 @@
 A fingerprint has 64 bits, each the majority over the hashes of all 4-word shingles.  Two
 fingerprints are linked if at most ``RADIUS`` bits differ.  Candidates come from the covering
 family of Pagh ("CoveringLSH", 2018): every bit position gets a random non-zero vector of
-RADIUS + 1 bits; table ``v`` (a non-zero vector too) keeps the positions whose vector has an even
+RADIUS + 1 bits; table ``v`` (a non-zero vector too) keeps the positions whose vector has an odd
 product with ``v``.  RADIUS differing positions span at most RADIUS dimensions, so some ``v`` is
 orthogonal to all of them: that table masks every difference away and both fingerprints fall into
 one bucket.  No pair within the radius is ever missed, whatever the random choice.
@@ -75,7 +75,7 @@ def masks(radius: int = RADIUS, seed: int = 7) -> tuple[int, ...]:
     """Masks of the covering family: 2 ** (radius + 1) - 1 numbers of 64 bits."""
     of_bit = np.random.default_rng(seed).permutation(
         np.resize(np.arange(1, 1 << (radius + 1)), BITS))
-    return tuple(sum(1 << i for i in range(BITS) if int(v & of_bit[i]).bit_count() % 2 == 0)
+    return tuple(sum(1 << i for i in range(BITS) if int(v & of_bit[i]).bit_count() % 2)
                  for v in range(1, 1 << (radius + 1)))
 
 
