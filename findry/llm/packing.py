@@ -105,7 +105,7 @@ class Stream:
         out = pa.RecordBatch.from_arrays([
             pa.array([self.docs[i][0] for i in doc.tolist()], pa.int64()),
             pa.array(starts - before[doc] + placed[doc]), pa.array(ends - starts),
-            pa.array([stream[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())],
+            pa.array([stream[a:b].astype("<u4").tobytes() for a, b in zip(starts.tolist(), ends.tolist())],
                      pa.binary()),
             pa.array(np.array([d[3] for d in self.docs], np.int64)[doc]),
             pa.array(sequence + self.next_sequence), pa.array(starts - np.r_[0, cuts[:-1]][sequence]),
@@ -130,12 +130,12 @@ def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None,
 
     def run(batches):
         path = tokenizer or tokens.public_path(tokens.BYTE_RANKS)
+        encode = tokens.encoder(path).encode
+        end = np.array([separator], np.uint32)
         stream = Stream(length, path, TaskContext.get().partitionId())
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = tokens.encode(text.as_py(), path)
-                ids.append(separator)
-                stream.add(doc_id, np.array(ids, "<u4"))
+                stream.add(doc_id, np.concatenate([encode(text.as_py()), end]))
                 if stream.size >= max(CHUNK, 16 * length):
                     yield stream.flush(False)
         if stream.size:

@@ -79,9 +79,11 @@ def stride(length: int, width: int) -> int:
 def _sequences(batches, path, length, separator):
     """``(first doc_id, its token position, ids)`` of the sequences of one task."""
     parts, size, first = [], 0, None
+    encode = tokens.encoder(path).encode
+    end = np.array([separator], np.uint32)
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids = np.array([*tokens.encode(text.as_py(), path), separator], "<u4")
+            ids = np.concatenate([encode(text.as_py()), end])
             doc_id, at = -1 if doc_id is None else doc_id, 0
             while at < len(ids):
                 if first is None:
@@ -150,10 +152,11 @@ def materialise(docs: DataFrame, path: str | None = None, length: int = LENGTH,
 
     def count(batches):
         file = tokenizer or tokens.public_path(tokens.BYTE_RANKS)
+        encode = tokens.encoder(file).encode
         total = 0
         for batch in batches:
             for text in batch.column(1):
-                total += len(tokens.encode(text.as_py(), file)) + 1
+                total += len(encode(text.as_py())) + 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId()]), pa.array([-(-total // length)])],
             ["task", "n"])

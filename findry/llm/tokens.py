@@ -22,31 +22,36 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(2)
-def encoder(path: str):
-    import public_tokenizers
-    import tiktoken
+class ByteEncoder:
+    """The encoder of a rank file."""
+
+    def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                             special_tokens={END_OF_TEXT: len(ranks)})
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.core = tiktoken.Encoding(
+            "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+            special_tokens={END_OF_TEXT: len(ranks)})
 
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of a whole text as 32-bit numbers; null counts as empty."""
+        if not text:
+            return np.zeros(0, np.uint32)
+        special = {END_OF_TEXT} if END_OF_TEXT in text else set()
+        return self.core.encode_to_numpy(text, allowed_special=special, disallowed_special=())
 
-def encode(text: str | None, path: str) -> list[int]:
-    """Ids of a whole text; null counts as empty."""
-    if not text:
-        return []
-    own = encoder(path)
-    if END_OF_TEXT in text:
-        return own.encode(text, allowed_special="all")
-    return own.encode_ordinary(text)
+
+@lru_cache(2)
+def encoder(path: str) -> ByteEncoder:
+    return ByteEncoder(path)
 
 
 @lru_cache(2)
 def boundaries(path: str) -> tuple[np.ndarray, np.ndarray]:
     """By id: whether a sentence may end with the token, and whether the token starts with a space."""
-    own = encoder(path)
+    own = encoder(path).core
     ends, spaces = np.zeros(own.n_vocab, bool), np.zeros(own.n_vocab, bool)
     for i in range(own.n_vocab):
         data = own.decode_single_token_bytes(i)
