@@ -12,7 +12,7 @@ The arrays hold at most ``ENTRIES`` 4-grams: beyond that, those seen least often
 left out, as in any pruned model.
 
 A null text, or one without a letter, is ``und`` with score 0, and counts as rejected.  A training row
-without language, text or letters is not learned from.  With no training rows every text is ``und``.
+without language, text or letters is not learned from; a language without calibrated texts rejects none.  With no training rows every text is ``und``.
 Ties go to the language first in order.  Extra columns pass through ``identify``.
 """
 
@@ -31,7 +31,8 @@ from findry.llm.scratch import Scratch
 
 ORDER = 4
 ENTRIES = 4_000_000
-# Training texts the rejection limit is calibrated on, at most (expected number of a hash sample).
+# Training texts the rejection limit is calibrated on, at most (expected number of a hash sample,
+# and a tenth of them all at most).
 CALIBRATION = 4_000
 UNDETERMINED = "und"
 ALPHABET = 1 << 16
@@ -220,7 +221,11 @@ def train(docs: DataFrame, entries: int = ENTRIES, calibration: int = CALIBRATIO
     """Models of all languages of ``docs(doc_id, text, lang)``; None without a usable row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "langid")
-    counts = scratch.keep(gram_counts(docs), "counts")
+    known = docs.where("lang is not null and text is not null")
+    share = min(0.1, calibration / max(1, known.count()))
+    # The calibration sample is not learned from, so its entropies are those of new texts.
+    picked = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
+    counts = scratch.keep(gram_counts(known.where(~picked)), "counts")
     if counts.count() > entries:
         sizes = sorted(counts.groupBy("n").count().collect(), reverse=True)
         total, least = 0, sizes[0]["n"] + 1
@@ -237,12 +242,6 @@ def train(docs: DataFrame, entries: int = ENTRIES, calibration: int = CALIBRATIO
     codes = table.column("code").to_numpy().view(np.uint64)
     n = table.column("n").to_numpy()
     model = build({str(lang): (codes[langs == lang], n[langs == lang]) for lang in set(langs)})
-    # Calibration: the entropy of texts of a known language under the model of that language.
-    known = docs.where("lang is not null and text is not null")
-    total = known.count()
-    share = min(1.0, calibration / max(1, total))
-    picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30))
-                         < int(share * (1 << 30)) + 1).select("lang", "text")
     held = spark.sparkContext.broadcast(model)
 
     def measure(batches):
@@ -257,7 +256,8 @@ def train(docs: DataFrame, entries: int = ENTRIES, calibration: int = CALIBRATIO
                 [batch.column(0), pa.array(entropy[np.arange(len(column)), column]),
                  pa.array(size)], ["lang", "entropy", "size"])
 
-    seen = picked.mapInArrow(measure, "lang string, entropy double, size long").where("size > 0")
+    sample = known.where(picked).select("lang", "text")
+    seen = sample.mapInArrow(measure, "lang string, entropy double, size long").where("size > 0")
     seen = seen.toPandas()
     held.destroy()
     for lang, rows in seen.groupby("lang"):

@@ -56,7 +56,7 @@ TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Herr": "m", "Frau": "f", "Monsieur"
           "Madame": "f", "Señor": "m", "Señora": "f", "Signor": "m", "Signora": "f",
           "господин": "m", "госпожа": "f", "κύριος": "m", "κυρία": "f"}
 _NAME = re.compile(
-    r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.? ((?:[^\W\d_]+[ -]?){1,4})")
+    r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.? (?=((?:[^\W\d_]+[ -]?){1,4}))")
 # Alphabets by script, and syllables and endings for names (fixed values).
 ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя",
              "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
@@ -140,7 +140,7 @@ def _names(text: str) -> list[tuple[int, int, str, str]]:
     for m in _NAME.finditer(text):
         words = []
         for w in re.finditer(r"[^\W\d_]+", m[2]):
-            if not w[0][0].isupper() or len(words) == 4 or len(w[0]) < 2:
+            if not w[0][0].isupper() or len(words) == 4 or len(w[0]) < 2 or w[0] in TITLES:
                 break
             words.append((m.start(2) + w.start(), m.start(2) + w.end(), w[0]))
         gender = TITLES[m[1]]
