@@ -92,7 +92,7 @@ class Collection:
         storage.delete_rows(self.spark, self.folder(), ids)
         return True
 
-    def build_index(self, n_lists: int = 100, sample: int = 50_000, iters: int = 10,
+    def build_index(self, n_lists: int = 100, sample: int | None = None, iters: int = 10,
                     nprobe: int = ivf.DEFAULT_NPROBE, seed: int = 0) -> None:
         """Build (or rebuild) the list index; searches then scan ``nprobe`` lists a query."""
         version = self._version()

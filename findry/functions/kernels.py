@@ -44,6 +44,24 @@ def to_matrix(column, dim: int | None = None) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, high)
 
 
+def sound(column) -> np.ndarray:
+    """Which rows of a column can be searched: not null and, for vectors, all elements finite."""
+    column = one_array(column)
+    valid = column.is_valid().to_numpy(zero_copy_only=False)
+    if not (pa.types.is_list(column.type) or pa.types.is_large_list(column.type)) or not (
+            pa.types.is_floating(column.type.value_type)):
+        return valid
+    flat = column.flatten()
+    good = pc.fill_null(pc.is_finite(flat), False).to_numpy(zero_copy_only=False)
+    if good.all():
+        return valid
+    # Null lists are no part of the flat elements.
+    row = np.repeat(np.arange(len(column)), pc.fill_null(pc.list_value_length(column), 0).to_numpy())
+    out = valid.copy()
+    out[row[~good]] = False
+    return out
+
+
 def running_sum(products: np.ndarray) -> np.ndarray:
     """Row sums added strictly left to right."""
     if products.shape[1] == 0:
@@ -190,7 +208,8 @@ class NearestVectors(BestRows):
         if block.shape[0] > self.k:
             bound = np.minimum(bound, np.partition(coarse, self.k - 1, axis=1)[:, self.k - 1])
         bound = bound + slack + 16 * ULP * np.abs(np.where(np.isfinite(bound), bound, 0.0))
-        q, r = np.nonzero(coarse <= bound[:, None])
+        # An overflow makes a distance or bound undefined; such pairs are scored exactly too.
+        q, r = np.nonzero(~(coarse > bound[:, None]))
         if len(q) > 4 * self.k * len(part):
             keep = self._thin_copies(block, block_ids, np.unique(r))
             ok = keep[r]

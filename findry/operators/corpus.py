@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from findry.functions import filters
 from findry.functions.embed import Embedder, embed
+from findry.operators import topk
 from findry.operators.topk import broadcast_if_small
 
 
@@ -23,11 +24,11 @@ def all_embeddings(corpus: DataFrame) -> DataFrame:
 def _fits(dim: int):
     vector = F.col("embedding")
     return F.coalesce(
-        (F.size(vector) == dim) & ~F.exists(vector, lambda x: x.isNull()), F.lit(False))
+        (F.size(vector) == dim) & topk.searchable(vector), F.lit(False))
 
 
 def validate_dim(corpus: DataFrame, dim: int) -> DataFrame:
-    """Rows whose embedding has ``dim`` elements, none of them null."""
+    """Rows whose embedding has ``dim`` elements, all of them finite numbers."""
     return corpus.filter(_fits(dim))
 
 

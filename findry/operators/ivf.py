@@ -22,6 +22,9 @@ from findry.schema import check_count
 from findry.sources.lineage import cut_lineage
 
 DEFAULT_NPROBE = 8
+# Training rows by default: in all at least, and for each list.
+SAMPLE = 50_000
+ROWS_PER_LIST = 256
 CENTROID_SCHEMA = "cid int, centroid array<double>"
 
 
@@ -44,12 +47,13 @@ def _lists_udf(spark: SparkSession, cids: np.ndarray, matrix: np.ndarray, n: int
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def nearest_lists(batch: pa.Array) -> pa.Array:
         numbers, centres = cast.value
-        valid = batch.is_valid().to_numpy(zero_copy_only=False)
+        valid = kernels.sound(batch)
+        rows = np.flatnonzero(valid)
         best = kernels.NearestVectors(
-            kernels.to_matrix(batch.drop_null(), centres.shape[1]), take, "sqeuclidean")
+            kernels.to_matrix(batch.take(pa.array(rows)), centres.shape[1]), take, "sqeuclidean")
         best.add(centres, pa.array(numbers, pa.int32()))
-        found = best.result()[1]
-        ends = np.concatenate([[0], np.cumsum(np.where(valid, take, 0))])
+        query, found, _ = best.result()
+        ends = np.concatenate([[0], np.cumsum(np.bincount(rows[query], minlength=len(valid)))])
         return pa.ListArray.from_arrays(
             pa.array(ends, pa.int32(), mask=np.append(~valid, False)),
             found if found is not None else pa.array([], pa.int32()))
@@ -76,7 +80,7 @@ def _with_lists(table: DataFrame, key: str, centroids: DataFrame, n: int) -> Dat
             "clusters", _lists_udf(table.sparkSession, *local, n)(F.col("embedding")))
     near, _ = topk.nearest_rows(
         centroids.select(F.col("cid").alias("id"), F.col("centroid").alias("embedding")),
-        table.filter(F.col("embedding").isNotNull())
+        table.filter(topk.searchable())
         .select(F.col(key).alias("query_id"), "embedding"), n, "sqeuclidean")
     lists = near.groupBy(F.col("query_id").alias(key)).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rank", "id"))), lambda s: s["id"])
@@ -111,24 +115,39 @@ def _list_means(assigned: DataFrame) -> DataFrame:
 
 def kmeans_step(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
     """One Lloyd step: move each centroid to the mean of its rows; an empty one stays."""
-    means = _list_means(assign(vectors.filter(F.col("embedding").isNotNull()), centroids))
+    means = _list_means(assign(vectors.filter(topk.searchable()), centroids))
     return centroids.join(means, "cid", "left").select(
         "cid", F.coalesce("mean", "centroid").alias("centroid"))
 
 
+def kmeans(vectors: DataFrame, centroids: DataFrame, rounds: int) -> DataFrame:
+    """Lloyd's algorithm from given centroids; every round is run."""
+    side = topk.measure(centroids.orderBy("cid").select("cid", "centroid"), "centroid")
+    if side.local is None:
+        for _ in range(rounds):
+            centroids = cut_lineage(kmeans_step(vectors, centroids))
+        return centroids
+    cids = side.local.column("cid").to_numpy().astype(np.int32)
+    centres = kernels.to_matrix(side.local.column("centroid"))
+    rows = vectors.filter(topk.searchable()).select("embedding")
+    for _ in range(rounds):
+        centres = _moved(rows, centres)
+    return _centroid_frame(vectors.sparkSession, centres, cids)
+
+
 def _seeded(id_column: str, seed: int):
     return F.xxhash64(F.col(id_column).cast("string"), F.lit(seed))
 
 
 def training_sample(vectors: DataFrame, size: int, seed: int) -> DataFrame:
-    """``size`` rows picked by a seeded hash of their id, or all rows if there are fewer.
-    Picked rows without a vector are left out.
+    """``size`` rows with a searchable vector, picked by a seeded hash of their id, or all of
+    them if there are fewer.
 
-    Only hashes are sorted, and counting and picking read no vectors.  A first cut keeps
-    about a fifth more rows than needed, so the sort sees no more of the table than that.
+    Only hashes are sorted.  A first cut keeps about a fifth more rows than needed, so the sort
+    sees no more of the table than that.
     """
-    rows = vectors.select("id", "embedding", _seeded("id", seed).alias("draw"))
-    whole = rows.filter(F.col("embedding").isNotNull())
+    whole = rows = vectors.filter(topk.searchable()).select(
+        "id", "embedding", _seeded("id", seed).alias("draw"))
     total = rows.count()
     if total <= size:
         return whole
@@ -145,11 +164,13 @@ def training_sample(vectors: DataFrame, size: int, seed: int) -> DataFrame:
         share = min(1.0, share * 2)
 
 
-def train(vectors: DataFrame, n_lists: int = 100, sample: int = 50_000, iters: int = 10,
+def train(vectors: DataFrame, n_lists: int = 100, sample: int | None = None, iters: int = 10,
           seed: int = 0) -> DataFrame:
     """K-means centroids of a sample.  Only the centroids pass through the driver.
 
-    The start is a seeded choice of rows; every one of ``iters`` rounds is run.
+    The start is a seeded choice of rows; every one of ``iters`` rounds is run.  Without a
+    ``sample`` size it grows with the lists.  A corpus with fewer vectors than lists gets one list
+    a vector; a sample that is too small for the lists is refused.
     """
     return _train(vectors, n_lists, sample, iters, seed)[0]
 
@@ -157,7 +178,7 @@ def train(vectors: DataFrame, n_lists: int = 100, sample: int = 50_000, iters: i
 def _train(vectors, n_lists, sample, iters, seed) -> tuple[DataFrame, DataFrame]:
     """Centroids, and the training rows of each list."""
     check_count("n_lists", n_lists)
-    check_count("sample", sample)
+    sample = max(SAMPLE, ROWS_PER_LIST * n_lists) if sample is None else check_count("sample", sample)
     check_count("iters", iters, 0)
     spark = vectors.sparkSession
     # The sample is gathered from every task of a large scan into partitions of its own size.
@@ -165,6 +186,8 @@ def _train(vectors, n_lists, sample, iters, seed) -> tuple[DataFrame, DataFrame]
     rows = chosen.count()
     if not rows:
         raise ValueError("nothing to index: the corpus has no vectors")
+    if rows == sample < n_lists:
+        raise ValueError(f"{n_lists} lists need a sample of as many rows at least, got {sample}")
     k = min(n_lists, rows)
     starts = (chosen.select("id", "embedding", _seeded("id", seed + 1).alias("start"))
               .orderBy("start", "id").limit(k).select("embedding").toArrow())
@@ -191,16 +214,17 @@ def _moved(vectors: DataFrame, centres: np.ndarray) -> np.ndarray:
     return centres
 
 
-def _centroid_frame(spark: SparkSession, centres: np.ndarray) -> DataFrame:
+def _centroid_frame(spark: SparkSession, centres: np.ndarray, cids: np.ndarray | None = None) -> DataFrame:
     dim = centres.shape[1]
     lists = pa.ListArray.from_arrays(
         pa.array(np.arange(len(centres) + 1) * dim, pa.int32()), pa.array(centres.ravel()))
     return spark.createDataFrame(
-        pa.table({"cid": pa.array(np.arange(len(centres), dtype=np.int32)), "centroid": lists}),
+        pa.table({"cid": pa.array(np.arange(len(centres)) if cids is None else cids, pa.int32()),
+                  "centroid": lists}),
         CENTROID_SCHEMA)
 
 
-def build_index(corpus: DataFrame, n_lists: int = 100, sample: int = 50_000, iters: int = 10,
+def build_index(corpus: DataFrame, n_lists: int = 100, sample: int | None = None, iters: int = 10,
                 nprobe: int = DEFAULT_NPROBE, seed: int = 0) -> Index:
     """Train centroids and assign every row.  Building again replaces the lists."""
     check_count("nprobe", nprobe)

@@ -67,7 +67,7 @@ def find_keywords(corpus, queries, k, filter=None, scorer="overlap", index=None,
         wanted = wanted.withColumn("weights", F.transform("terms", lambda t: F.lit(1.0)))
     else:
         wanted = _weighted(corpus, queries, index, min_length, stop_words)
-    side = topk.measure(wanted, "terms", topk.BROADCAST_BYTES // 4, per_row=24 * k,
+    side = topk.measure(wanted, "terms", topk.BROADCAST_BYTES // 4, per_row=32 + 24 * k,
                         even=False)
     if index is not None:
         documents = _from_postings(index, side, scorer)

@@ -48,26 +48,27 @@ class Side:
     dim: int | None = None
 
 
-def measure(frame: DataFrame, width: str, budget: int = BROADCAST_BYTES, per_row: int = 0,
+def measure(frame: DataFrame, width: str, budget: int = BROADCAST_BYTES, per_row: int = 32,
             even: bool = True) -> Side:
     """Fetch a side if it is within ``budget`` bytes, else only count it.
 
     ``width`` names the array column whose elements take eight bytes each; ``per_row``
     adds what else a row costs.  Arrays of one length (``even``) are measured on the
-    first rows, so that counting a large table does not read its vectors.
+    first rows, so that counting a large table does not read its vectors, unless those are all
+    null.  Rows that can't be searched (see :func:`kernels.sound`) are left out of what is fetched.
     """
     first = frame.limit(FIRST_LOOK_ROWS + 1).toArrow()
     dim = pc.max(pc.list_value_length(first.column(width))).as_py() or 0
     n = first.num_rows
     if n > FIRST_LOOK_ROWS:
-        if even:
+        if even and dim:
             n = frame.count()
         else:
-            n, dim = frame.agg(F.count("*"), F.max(F.size(width))).first()
+            n, dim = frame.agg(F.count("*"), F.coalesce(F.max(F.size(width)), F.lit(0))).first()
     if n * (8 * dim + per_row) > budget:
         return Side(frame, None, n, dim)
     local = first if n <= FIRST_LOOK_ROWS else frame.toArrow()
-    return Side(frame, local.filter(pc.is_valid(local.column(width))), n, dim)
+    return Side(frame, local.filter(pa.array(kernels.sound(local.column(width)))), n, dim)
 
 
 def broadcast_if_small(frame: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -121,7 +122,7 @@ def scan_with(table: DataFrame, needed: str, shared: dict, start: Callable,
 
     def held(batch):
         # Dropped here and not by a filter, which would compute a computed column twice.
-        return batch.filter(pc.is_valid(batch.column(needed)))
+        return batch.filter(pa.array(kernels.sound(batch.column(needed))))
 
     def run(batches):
         values = cast.value
@@ -148,7 +149,7 @@ def nearest_rows(corpus: DataFrame, queries: DataFrame, k: int, metric: str,
     only sees the rows of its clusters.
     """
     probed = "cluster" in corpus.columns
-    side = measure(queries, "embedding", budget, per_row=24 * k)
+    side = measure(queries, "embedding", budget, per_row=32 + 24 * k)
     if side.local is not None:
         partials = _queries_travel(corpus, side, k, metric, probed)
     else:
@@ -169,6 +170,12 @@ def nearest_to(corpus: DataFrame, vector: Sequence[float], k: int, metric: str)
     return best_per_query(partials, k).select("id", "distance").orderBy("distance", "id").limit(k)
 
 
+def searchable(vector="embedding"):
+    """Column: the vector is not null and all its elements are finite."""
+    return F.coalesce(F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))),
+                      F.lit(False))
+
+
 def look_up(results: DataFrame, corpus: DataFrame, columns: list[str], most_rows: int) -> DataFrame:
     """Add columns of the found rows.
 
@@ -224,7 +231,7 @@ def _table_travels(rows: Side, queries, k, metric, probed) -> DataFrame:
         values = cast.value
         part = TaskContext.get().partitionId()
         for batch in batches:
-            batch = batch.filter(pc.is_valid(batch.column("embedding")))
+            batch = batch.filter(pa.array(kernels.sound(batch.column("embedding"))))
             if not batch.num_rows or not len(values["matrix"]):
                 continue
             best = kernels.NearestVectors(
@@ -276,7 +283,7 @@ def meet(queries: DataFrame, table: DataFrame, pair: list[str], start: Callable,
 def _blocks_meet(rows: Side, side: Side, k, metric, probed, block_bytes) -> DataFrame:
     """Cut both sides into blocks and score every pair of blocks that share a cluster."""
     per_block = max(1, block_bytes // (8 * max(1, rows.dim)))
-    corpus, queries = [f.filter(F.col("embedding").isNotNull()) for f in (rows.frame, side.frame)]
+    corpus, queries = [f.filter(searchable()) for f in (rows.frame, side.frame)]
     dim = rows.dim
     if probed:
         queries = queries.withColumn("cluster", F.explode("clusters")).drop("clusters")

@@ -144,7 +144,7 @@ def probed(name: str, k: int) -> str:
         "EXISTS (SELECT 1 FROM probes p WHERE p.query_id = q.query_id AND p.cluster = c.cluster)"))
 
 
-def diverse(k: int, balance: float) -> str:
+def diverse(k: int, balance: float, source: str = "", corpus: str = "vec") -> str:
     """Greedy picking, written out one step after another."""
     picks = [f"""
 pick1 AS (
@@ -168,11 +168,11 @@ pick{step} AS (
     every = " UNION ALL ".join(
         f"SELECT query_id, id, distance, near_rank, rank FROM pick{i}" for i in range(1, k + 1))
     return f"""
-WITH {VECTORS}, {LABEL_QUERIES}, {nearest('near', 'vec', 'asked', 20)},
+WITH {source or f'{VECTORS}, {LABEL_QUERIES}'}, {nearest('near', corpus, 'asked', 20)},
 cand AS (
-  SELECT near.query_id, near.id, distance, near.rank AS near_rank, vec.e,
-    {cosine('vec.e', 'asked.e')} AS sim
-  FROM near JOIN vec USING (id) JOIN asked USING (query_id)),{','.join(picks)}
+  SELECT near.query_id, near.id, distance, near.rank AS near_rank, held.e,
+    {cosine('held.e', 'asked.e')} AS sim
+  FROM near JOIN {corpus} held USING (id) JOIN asked USING (query_id)),{','.join(picks)}
 SELECT query_id, id, near_rank, rank, {six('distance')} FROM ({every})"""
 
 
@@ -193,6 +193,33 @@ WITH {VECTORS} SELECT id, {six(distance(metric, 'vec.e', 'means.e'), 'distance')
 FROM vec JOIN means USING (label)"""
 
 
+def dirty() -> str:
+    parts = {m: nearest(f"near_{m}", "vec", "asked", 5, m, "c.label NOT IN (0, 1, 2, 3)")
+             for m in ("cosine", "dot", "euclidean")}
+    rows = " UNION ALL ".join(f"SELECT '{m}' AS metric, query_id, id, rank, {six('distance')} FROM near_{m}"
+                              for m in parts)
+    return f"WITH {VECTORS}, {LABEL_QUERIES}, {','.join(parts.values())} {rows}"
+
+
+def rounds(n: int) -> str:
+    """Lloyd steps from the label means, written out one after another."""
+    steps = ["c0 AS (SELECT label AS cid, e FROM means)"]
+    for i in range(n):
+        steps.append(f"""
+l{i} AS (
+  SELECT e, (SELECT c.cid FROM c{i} c ORDER BY list_distance(c.e, v.e), c.cid LIMIT 1) AS cid FROM vec v),
+m{i} AS (
+  SELECT cid, pos, avg(x) AS x FROM (
+    SELECT cid, unnest(range(len(e))) AS pos, unnest(e) AS x FROM l{i}) GROUP BY cid, pos),
+c{i + 1} AS (
+  SELECT c.cid, coalesce(m.e, c.e) AS e FROM c{i} c
+  LEFT JOIN (SELECT cid, list(x ORDER BY pos) AS e FROM m{i} GROUP BY cid) m ON m.cid = c.cid)""")
+    return f"""
+WITH {VECTORS}, {', '.join(steps)}
+SELECT cid, CAST(pos AS INTEGER) AS pos, {six('x', 'value')} FROM (
+  SELECT cid, unnest(range(len(e))) AS pos, unnest(e) AS x FROM c{n})"""
+
+
 ORACLES = {
     "corpus_scan": """
 SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS dim,
@@ -202,8 +229,9 @@ SELECT vec_id AS id, label, CAST(len(embedding) AS INTEGER) AS dim FROM embeddin
 WHERE label % 2 = 0 AND len(embedding) = 64""",
     "corpus_from_columns": """
 SELECT doc_id AS id, CAST(length(text) AS INTEGER) AS n_content,
-  CASE WHEN n_chars <= 2000 THEN source END AS source, CAST(len(embedding) AS INTEGER) AS dim
-FROM documents JOIN embeddings ON doc_id = vec_id""",
+  CASE WHEN n_chars <= 2000 THEN source END AS source,
+  CAST(coalesce(len(embedding), 0) AS INTEGER) AS dim
+FROM documents LEFT JOIN embeddings ON doc_id = vec_id""",
     "vector_from_json": f"""
 SELECT id, pos, {six('x', 'value')} FROM (
   SELECT vec_id AS id, CAST(unnest(range(len(embedding))) AS INTEGER) AS pos,
@@ -266,6 +294,7 @@ SELECT id, {six('d', 'distance')}, {six('1e0 - d', 'score')} FROM (
   SELECT id, {distance('cosine', 'vec.e', 'asked.e')} AS d FROM vec, asked)
 ORDER BY d, id LIMIT 10""",
     "knn_join": label_search(10),
+    "knn_dirty": dirty(),
     "knn_score": label_search(5, "dot", "1e0 - distance", "score"),
     "knn_filtered": label_search(5, "euclidean", where="c.label >= 3 AND c.label < 7"),
     "search_text": f"""
@@ -299,6 +328,7 @@ kept AS (SELECT id FROM docs WHERE lang <> 'en' OR lang IS NULL),
 {fuse('fused', 'a', 'b', 4, 0.3)} SELECT query_id, id, rank, {six('score')} FROM fused""",
     "mmr_k2": diverse(2, 0.5),
     "mmr": diverse(4, 0.3),
+    "mmr_text": diverse(2, 0.5, BAG_SEARCH, "bag"),
     "rag_context": f"""
 WITH {BAG_SEARCH}, {nearest('near', 'bag', 'asked', 3)}
 SELECT query_id, string_agg(text, chr(10) ORDER BY rank) AS context
@@ -312,6 +342,8 @@ LEFT JOIN (
   SELECT cluster AS label, pos, avg(x) AS moved FROM (
     SELECT cluster, unnest(range(len(e))) AS pos, unnest(e) AS x FROM listed)
   GROUP BY cluster, pos) USING (label, pos)""",
+    "kmeans_rounds": rounds(3),
+    "ivf_train_sparse": label_search(5, where="c.label = 4"),
     "ivf_probe": f"""
 WITH {VECTORS}, asked AS (SELECT id AS query_id, e FROM vec), {probes('asked', 3)}
 SELECT query_id, place, cluster FROM probes""",

@@ -124,12 +124,12 @@ def corpus_validate_dim(spark, folder):
 @query
 def corpus_from_columns_(spark, folder):
     table = read(spark, folder, "documents").withColumn("meta", metadata_column()).join(
-        read(spark, folder, "embeddings"), F.col("doc_id") == F.col("vec_id"))
+        read(spark, folder, "embeddings"), F.col("doc_id") == F.col("vec_id"), "left")
     mapped = corpus_from_columns(table, Columns(
         id="doc_id", content="text", metadata="meta", embedding="embedding"))
     return mapped.select("id", F.length("content").alias("n_content"),
                          F.get_json_object("metadata", "$.source").alias("source"),
-                         F.size("embedding").alias("dim"))
+                         F.coalesce(F.size("embedding"), F.lit(0)).alias("dim"))
 
 
 QUERIES["corpus_from_columns"] = QUERIES.pop("corpus_from_columns_")
@@ -280,6 +280,20 @@ def knn_join(spark, folder):
     return rounded(found.select("query_id", "id", "rank", "distance"), "distance")
 
 
+@query
+def knn_dirty(spark, folder):
+    """All metrics over vectors of which some hold NaN, null or infinity and some are null."""
+    first = (F.when(F.col("label") == 0, F.lit(float("nan"))).when(F.col("label") == 3, F.lit(float("inf")))
+             .when(F.col("label") != 1, F.col("embedding")[0].cast("double")))
+    spoilt = F.concat(F.array(first), F.slice(F.col("embedding").cast("array<double>"), 2, 10_000))
+    corpus = vectors(spark, folder).select(
+        "id", F.when(F.col("label") != 2, spoilt).alias("embedding"))
+    parts = [search.knn_join(corpus, label_queries(spark, folder), 5, metric).select(
+        F.lit(metric).alias("metric"), "query_id", "id", "rank", "distance")
+        for metric in ("cosine", "dot", "euclidean")]
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), "distance")
+
+
 @query
 def knn_score(spark, folder):
     found = search.knn_join(vectors(spark, folder), label_queries(spark, folder), 5, "dot")
@@ -391,6 +405,14 @@ def mmr_(spark, folder):
 QUERIES["mmr"] = QUERIES.pop("mmr_")
 
 
+@query
+def mmr_text(spark, folder):
+    """Two of the documents nearest to each benchmark text, copies pushed aside."""
+    found = mmr.mmr_text(embedded_documents(spark, folder), text_queries(spark, folder), HashedWords(),
+                         k=2, fetch_k=20, lambda_mult=0.5)
+    return rounded(found, "distance")
+
+
 @query
 def rag_context(spark, folder):
     found = search.search_text(embedded_documents(spark, folder), text_queries(spark, folder),
@@ -454,6 +476,25 @@ def ivf_build(spark, folder):
     return rounded(found.select("query_id", "id", "rank", "distance"), "distance")
 
 
+@query
+def ivf_train_sparse(spark, folder):
+    """Lists trained on a table of which nine rows in ten have no vector; all of them probed."""
+    sparse = vectors(spark, folder).select(
+        "id", F.when(F.col("label") == 4, F.col("embedding")).alias("embedding"))
+    index = ivf.build_index(sparse, n_lists=8, sample=30, nprobe=8)
+    found = search.knn_join(index.rows, label_queries(spark, folder), 5,
+                            centroids=index.centroids, nprobe=8)
+    return rounded(found.select("query_id", "id", "rank", "distance"), "distance")
+
+
+@query
+def kmeans_rounds(spark, folder):
+    """Three rounds of the training loop, started from the label means."""
+    moved = ivf.kmeans(vectors(spark, folder).select("id", "embedding"),
+                       label_centroids(spark, folder), 3)
+    return rounded(moved.select("cid", F.posexplode("centroid").alias("pos", "value")), "value")
+
+
 @query
 def ivf_centroids(spark, folder):
     """Trained lists and their sizes."""
