@@ -6,11 +6,14 @@ of ranked results with ``content`` and ``metadata``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from findry.functions import filters
 from findry.functions.embed import Embedder, embed
 from findry.operators import corpus as ops
 from findry.operators import hybrid, ivf, keyword, mmr, search
@@ -22,43 +25,79 @@ from findry.sources.lineage import cut_lineage
 SHOWN = ("content", "metadata")
 
 
+def _json(metadata: Mapping | str | None) -> str | None:
+    """Metadata as the JSON text of an object."""
+    if metadata is None:
+        return None
+    if isinstance(metadata, Mapping):
+        return json.dumps(dict(metadata), ensure_ascii=False)
+    try:
+        if isinstance(metadata, str) and isinstance(json.loads(metadata), dict):
+            return metadata
+    except ValueError:
+        pass
+    raise ValueError(f"metadata must be a mapping or JSON text of an object, got {metadata!r}")
+
+
 class Collection:
     """A folder of versions; building an index writes a new one, other changes update it."""
 
     def __init__(self, spark: SparkSession, path: str, embedder: Embedder | None = None,
-                 metric: str = "cosine", nprobe: int = ivf.DEFAULT_NPROBE):
+                 metric: str = "cosine", nprobe: int = ivf.DEFAULT_NPROBE,
+                 promoted_keys: Mapping[str, str] | None = None,
+                 promoted_types: Mapping[str, str] | None = None):
+        """``promoted_keys`` maps metadata keys to columns of their own.
+
+        These are filled from the metadata when texts are added; filters on them reach the scan.
+        ``promoted_types`` names the types of those that are not strings.
+        """
         self.spark, self.path, self.embedder = spark, path.rstrip("/"), embedder
         self.metric, self.nprobe = check_metric(metric), nprobe
+        self.promoted, self.kinds = dict(promoted_keys or {}), dict(promoted_types or {})
 
     @classmethod
     def from_texts(cls, spark: SparkSession, path: str, texts, embedder: Embedder,
-                   metadatas: Sequence[str] | None = None, ids: Sequence[str] | None = None,
-                   metric: str = "cosine") -> Collection:
-        made = cls(spark, path, embedder, metric)
+                   metadatas: Sequence[Mapping | str] | None = None,
+                   ids: Sequence[str] | None = None, metric: str = "cosine",
+                   **promoted) -> Collection:
+        made = cls(spark, path, embedder, metric, **promoted)
         made.add_texts(texts, metadatas, ids)
         return made
 
-    def _version(self) -> int:
-        versions = storage.read_versions(self.spark, self.path)
-        return versions.agg(F.max("version")).first()[0] if versions is not None else 0
+    def _version(self) -> tuple[int, str]:
+        return storage.current_folder(self.spark, self.path, f"{self.path}/rows-0")
 
     def folder(self) -> str:
-        return f"{self.path}/v{self._version()}"
+        return self._version()[1]
+
+    def _switch(self, write: Callable[[str], None]) -> None:
+        """Write a new folder, then make it current; a failed attempt is never seen."""
+        version, before = self._version()
+        folder = f"{self.path}/rows-{version + 1}-{uuid.uuid4().hex}"
+        # Rows changed meanwhile would be lost, so a change of the corpus is noticed.
+        seen = storage.changes_of(self.spark, before)
+        write(folder)
+        if self._version()[0] != version or storage.changes_of(self.spark, before) != seen:
+            raise RuntimeError("the corpus changed while it was being written anew; try again")
+        storage.add_version(self.spark, self.path, version + 1, folder)
 
     def rows(self) -> DataFrame:
         rows = storage.read_rows(self.spark, self.folder())
         if rows is None:
-            return self.spark.createDataFrame([], corpus_schema().add("cluster", "int"))
+            schema = corpus_schema().add("cluster", "int")
+            for key, column in self.promoted.items():
+                schema = schema.add(column, self.kinds.get(key, "string"))
+            return self.spark.createDataFrame([], schema)
         return rows
 
     # Changing
 
-    def add_texts(self, texts, metadatas: Sequence[str] | None = None,
+    def add_texts(self, texts, metadatas: Sequence[Mapping | str] | None = None,
                   ids: Sequence[str] | None = None) -> list[str] | None:
         """Embed and upsert texts, keeping the index current.
 
         ``texts`` is a DataFrame ``(content[, id, metadata])`` or a list, for which the ids
-        are returned.  Metadata is JSON text.
+        are returned.  Metadata is a mapping or JSON text of an object.
         """
         if isinstance(texts, DataFrame):
             batch, order = ops.with_defaults(texts), None
@@ -66,7 +105,7 @@ class Collection:
             texts = list(texts)
             if not texts:
                 return []
-            ids, metadatas = list(ids or []), list(metadatas or [])
+            ids, metadatas = list(ids or []), [_json(m) for m in metadatas or []]
             blanks = [None] * len(texts)
             listed = list(zip(range(len(texts)), texts, ids + blanks, metadatas + blanks))
             batch = ops.with_defaults(self.spark.createDataFrame(
@@ -75,6 +114,10 @@ class Collection:
         # Random ids are fixed before use: the ids returned are the ids stored.
         batch = cut_lineage(batch)
         embedded = batch.withColumn("embedding", embed(F.col("content"), self.embedder))
+        for key, column in self.promoted.items():
+            if column not in embedded.columns:
+                embedded = embedded.withColumn(column, filters.promoted_value(
+                    F.col("metadata"), key, self.kinds.get(key, "string")))
         storage.upsert_rows(self.spark, self.folder(), embedded, order)
         if order:
             return [row["id"] for row in batch.orderBy(order).select("id").collect()]
@@ -83,7 +126,7 @@ class Collection:
     def delete(self, ids=None, filter: Mapping | None = None) -> bool:
         """Delete by filter if one is given, else by ids; False if neither is."""
         if filter:
-            storage.delete_matching(self.spark, self.folder(), filter)
+            storage.delete_matching(self.spark, self.folder(), filter, self.promoted)
             return True
         if ids is None or (not isinstance(ids, DataFrame) and not list(ids)):
             return False
@@ -95,12 +138,15 @@ class Collection:
     def build_index(self, n_lists: int = 100, sample: int | None = None, iters: int = 10,
                     nprobe: int = ivf.DEFAULT_NPROBE, seed: int = 0) -> None:
         """Build (or rebuild) the list index; searches then scan ``nprobe`` lists a query."""
-        version = self._version()
         index = ivf.build_index(self.rows(), n_lists, sample, iters, nprobe, seed)
-        storage.write_index(index, f"{self.path}/v{version + 1}")
-        storage.add_version(self.spark, self.path, version + 1)
+        self._switch(lambda folder: storage.write_index(index, folder))
         self.nprobe = nprobe
 
+    def compact(self) -> None:
+        """Write the live rows anew, without those replaced or deleted."""
+        before = self.folder()
+        self._switch(lambda folder: storage.compact(self.spark, before, folder))
+
     # Searching
 
     def get_by_ids(self, ids) -> DataFrame:
@@ -127,7 +173,8 @@ class Collection:
 
     def _options(self) -> dict:
         return {"centroids": storage.read_centroids(self.spark, self.folder()),
-                "default_nprobe": self.nprobe, "metric": self.metric, "columns": SHOWN}
+                "default_nprobe": self.nprobe, "metric": self.metric, "columns": SHOWN,
+                "promoted_keys": self.promoted}
 
     def similarity_search(self, queries, k: int = 4, filter: Mapping | None = None,
                           nprobe: int | None = None) -> DataFrame:
@@ -144,7 +191,7 @@ class Collection:
     def keyword_search(self, queries, k: int = 4, filter: Mapping | None = None,
                        scorer: str = "overlap") -> DataFrame:
         return keyword.keyword_search(self.rows(), self._asked(queries), k, filter, scorer,
-                                      columns=SHOWN)
+                                      columns=SHOWN, promoted_keys=self.promoted)
 
     def hybrid_search(self, queries, k: int = 4, fetch_k: int = 20, filter: Mapping | None = None,
                       vector_weight: float = 0.5, rrf_k: int = 60, nprobe: int | None = None,

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = r"([a-z0-9]+)"
+# Words of full-text relevance: letters of any script, their marks, digits and underscores.
+TEXT_WORD = r"([\p{L}\p{M}\p{N}_]+)"
 NOT_WORD = r"[^a-z0-9]+"
 
 # The default full-text stop words of the InnoDB storage engine,
@@ -26,6 +28,13 @@ def words(text: Column) -> Column:
         F.array().cast("array<string>"))
 
 
+def text_words(text: Column) -> Column:
+    """Every run of letters of any script, digits and underscores of the lower-cased text."""
+    return F.coalesce(
+        F.regexp_extract_all(F.lower(text), F.lit(TEXT_WORD), F.lit(1)),
+        F.array().cast("array<string>"))
+
+
 def tokens(text: Column) -> Column:
     """The distinct words of a text."""
     return F.array_distinct(words(text))
@@ -34,7 +43,7 @@ def tokens(text: Column) -> Column:
 def index_words(text: Column, min_length: int = MIN_TOKEN_LENGTH,
                 stop_words=STOP_WORDS) -> Column:
     """Words a full-text index keeps: long enough and not a stop word."""
-    kept = words(text)
+    kept = text_words(text)
     if min_length > 1:
         kept = F.filter(kept, lambda w: F.length(w) >= min_length)
     if stop_words:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from findry.functions import kernels
 from findry.operators import topk
 from findry.schema import check_count
-from findry.sources.lineage import cut_lineage
+from findry.sources.lineage import cut_lineage, fixed
 
 DEFAULT_NPROBE = 8
 # Training rows by default: in all at least, and for each list.
@@ -182,23 +182,24 @@ def _train(vectors, n_lists, sample, iters, seed) -> tuple[DataFrame, DataFrame]
     check_count("iters", iters, 0)
     spark = vectors.sparkSession
     # The sample is gathered from every task of a large scan into partitions of its own size.
-    chosen = cut_lineage(training_sample(vectors, sample, seed).repartition("id"))
-    rows = chosen.count()
-    if not rows:
-        raise ValueError("nothing to index: the corpus has no vectors")
-    if rows == sample < n_lists:
-        raise ValueError(f"{n_lists} lists need a sample of as many rows at least, got {sample}")
-    k = min(n_lists, rows)
-    starts = (chosen.select("id", "embedding", _seeded("id", seed + 1).alias("start"))
-              .orderBy("start", "id").limit(k).select("embedding").toArrow())
-    centres = kernels.to_matrix(starts.column("embedding"))
-    if k < rows:
-        for _ in range(iters):
-            centres = _moved(chosen, centres)
-    centroids = _centroid_frame(spark, centres)
-    shares = assign(chosen, centroids).groupBy("cluster").agg(
-        (F.count("*") / rows).alias("share"))
-    return centroids, shares
+    with fixed(training_sample(vectors, sample, seed).repartition("id")) as chosen:
+        rows = chosen.count()
+        if not rows:
+            raise ValueError("nothing to index: the corpus has no vectors")
+        if rows == sample < n_lists:
+            raise ValueError(f"{n_lists} lists need a sample of as many rows at least, got {sample}")
+        k = min(n_lists, rows)
+        starts = (chosen.select("id", "embedding", _seeded("id", seed + 1).alias("start"))
+                  .orderBy("start", "id").limit(k).select("embedding").toArrow())
+        centres = kernels.to_matrix(starts.column("embedding"))
+        if k < rows:
+            for _ in range(iters):
+                centres = _moved(chosen, centres)
+        centroids = _centroid_frame(spark, centres)
+        # One row a list.
+        shares = assign(chosen, centroids).groupBy("cluster").agg(
+            (F.count("*") / rows).alias("share")).toArrow()
+    return centroids, spark.createDataFrame(shares, "cluster int, share double")
 
 
 def _moved(vectors: DataFrame, centres: np.ndarray) -> np.ndarray:

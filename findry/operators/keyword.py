@@ -3,7 +3,8 @@
 Two scorers.  ``overlap`` counts the distinct query words a document holds.  ``tfidf``
 follows the relevance formula of InnoDB full-text search, the sum over shared words of
 ``tf * idf ** 2`` with ``idf = log10(documents / documents with the word)``, and leaves
-out short and stop words.
+out short and stop words.  Its words are of any script; a word that every document holds
+keeps a small weight (``LEAST_IDF``), so that its repeats still rank.
 
 Documents are scored one at a time against all queries inside the scan, so a word that
 most documents and most queries share costs no join output: each task passes on ``k``
@@ -12,6 +13,7 @@ rows per query and nothing is shuffled by word.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 import numpy as np
@@ -21,20 +23,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from findry.functions import filters, kernels
-from findry.functions.text import MIN_TOKEN_LENGTH, STOP_WORDS, index_words, term_bucket, tokens, words
+from findry.functions.text import (
+    MIN_TOKEN_LENGTH, STOP_WORDS, index_words, term_bucket, text_words, tokens, words)
 from findry.operators import topk
 from findry.schema import check_count
 
 SCORERS = ("overlap", "tfidf")
+# Fixed value: the idf InnoDB gives to a word that all documents hold.
+LEAST_IDF = math.log10(1.0001)
 
 
-def postings(corpus: DataFrame) -> DataFrame:
+def postings(corpus: DataFrame, scorer: str = "tfidf") -> DataFrame:
     """The inverted index: ``(term, id, tf)`` for every word of every document.
 
+    The words are those of a scorer, which alone the index then serves; ASCII words are the same to both.
+
     Grouping by word and document keeps the word counts of common words spread out, and
     a document's repeats are combined before the shuffle.
     """
-    return (corpus.select("id", F.explode(words(F.col("content"))).alias("term"))
+    split = text_words if scorer == "tfidf" else words
+    return (corpus.select("id", F.explode(split(F.col("content"))).alias("term"))
             .groupBy("term", "id").agg(F.count("*").cast("int").alias("tf")))
 
 
@@ -75,7 +83,7 @@ def find_keywords(corpus, queries, k, filter=None, scorer="overlap", index=None,
             documents = documents.join(rows.select("id"), "id", "left_semi")
     else:
         # Repeats matter only to tf; the kernel counts them.
-        part = tokens if scorer == "overlap" else words
+        part = tokens if scorer == "overlap" else text_words
         documents = rows.select("id", part(F.col("content")).alias("terms"))
     if side.local is not None:
         partials = _scan(documents, side, k)
@@ -93,13 +101,14 @@ def _weighted(corpus, queries, index, min_length, stop_words) -> DataFrame:
     if index is not None:
         held = index.select("term")
     else:
-        held = corpus.select(F.explode(tokens(F.col("content"))).alias("term"))
+        held = corpus.select(F.explode(F.array_distinct(text_words(F.col("content")))).alias("term"))
     vocabulary = asked.select("term").distinct()
     if vocabulary.count() <= topk.BROADCAST_ROWS:
         vocabulary = F.broadcast(vocabulary)
     known = (held.join(vocabulary, "term", "left_semi")
              .groupBy("term").agg(F.count("*").alias("df")))
-    idf = F.log10(F.lit(float(corpus.count())) / F.col("df"))
+    total = F.lit(float(corpus.count()))
+    idf = F.when(F.col("df") >= total, F.lit(LEAST_IDF)).otherwise(F.log10(total / F.col("df")))
     return (
         asked.join(known.select("term", (idf * idf).alias("weight")), "term")
         .groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("tw"))

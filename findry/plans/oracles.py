@@ -14,6 +14,8 @@ means AS (
   GROUP BY label)"""
 
 WORDS = "unnest(regexp_extract_all(lower({text}), '[a-z0-9]+'))"
+# Words of any script, for full-text relevance.
+TEXT_WORDS = "unnest(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+'))"
 BUCKET = """CAST((strpos('0123456789abcdef', substr(md5(w), 31, 1)) - 1) * 16 % 64
   + (strpos('0123456789abcdef', substr(md5(w), 32, 1)) - 1) AS INTEGER) % 64"""
 
@@ -107,13 +109,14 @@ def tfidf(k: int) -> str:
     return f"""
 WITH tf AS (
   SELECT id, w, count(*) AS tf
-  FROM (SELECT doc_id AS id, {WORDS.format(text='text')} AS w FROM documents)
+  FROM (SELECT doc_id AS id, {TEXT_WORDS.format(text='text')} AS w FROM documents)
   WHERE {keep} GROUP BY id, w),
 idf AS (
-  SELECT w, log10((SELECT CAST(count(*) AS DOUBLE) FROM documents) / count(*)) AS idf
-  FROM tf GROUP BY w),
+  SELECT w, CASE WHEN n = total THEN log10(1.0001) ELSE log10(total / n) END AS idf FROM (
+    SELECT w, count(*) AS n, (SELECT CAST(count(*) AS DOUBLE) FROM documents) AS total
+    FROM tf GROUP BY w)),
 asked_words AS (
-  SELECT * FROM (SELECT DISTINCT item_id AS query_id, {WORDS.format(text='text')} AS w FROM benchmark)
+  SELECT * FROM (SELECT DISTINCT item_id AS query_id, {TEXT_WORDS.format(text='text')} AS w FROM benchmark)
   WHERE {keep}),
 scored AS (
   SELECT query_id, id, sum(tf * (idf * idf) ORDER BY w) AS score
@@ -309,7 +312,7 @@ SELECT query_id, id, rank, {six('distance')} FROM near""",
     "tokenize": f"SELECT DISTINCT doc_id, {WORDS.format(text='text')} AS token FROM documents",
     "postings": f"""
 SELECT w AS term, id, CAST(count(*) AS INTEGER) AS tf
-FROM (SELECT doc_id AS id, {WORDS.format(text='text')} AS w FROM documents) GROUP BY w, id""",
+FROM (SELECT doc_id AS id, {TEXT_WORDS.format(text='text')} AS w FROM documents) GROUP BY w, id""",
     "keyword_overlap": f"""
 WITH {OVERLAP}, {overlap('found', 10)} SELECT query_id, id, rank, score FROM found""",
     "keyword_tfidf": tfidf(10),

@@ -1,25 +1,36 @@
 """Corpora, indexes and postings as Parquet folders.
 
-A corpus folder holds ``rows/cluster=<n>/`` and, once an index is built, ``centroids/``.
-Rows no list has been chosen for lie in list ``-1``, which no search probes.
+A corpus folder holds ``rows/cluster=<n>/``, ``removed/`` (ids), ``changes/`` and, once an index is
+built, ``centroids/``.  Rows no list has been chosen for lie in list ``-1``, which no search probes.
+
+Nothing is ever overwritten.  A change appends its new rows and the ids it replaces or deletes,
+each marked with a name of its own, and last of all a line in ``changes`` that gives the name its
+place in the order.  Readers take marked rows of committed changes only, without those a later
+change has removed; what a failed writer left behind is never seen, and running it again is safe.
+One writer at a time.  :func:`compact` writes a corpus anew once removals have piled up.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from findry.functions.text import term_bucket
 from findry.operators import corpus as ops
 from findry.operators import ivf
 from findry.operators.ivf import Index
-from findry.operators.topk import broadcast_if_small
+from findry.operators.topk import BROADCAST_ROWS, broadcast_if_small
 from findry.schema import Columns, corpus_from_columns, corpus_schema
-from findry.sources.lineage import cut_lineage
+from findry.sources.lineage import fixed
 
 UNASSIGNED = -1
+CHANGE = "__change"
+CHANGE_SCHEMA = f"seq long, {CHANGE} string"
+# Ids that are looked for as literals, so that files without them are skipped.
+LITERAL_IDS = 1000
 ROWS_PER_FILE = 100_000
 
 
@@ -49,9 +60,42 @@ def _read(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
         raise
 
 
+def _changes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Committed changes and their order; one entry per change since the folder was written."""
+    found = _read(spark, f"{path}/changes", CHANGE_SCHEMA)
+    return {} if found is None else {r[CHANGE]: r["seq"] for r in found.collect()}
+
+
+def changes_of(spark: SparkSession, path: str) -> set[str]:
+    """The committed changes of a corpus folder."""
+    return set(_changes(spark, path))
+
+
+def _commit(spark: SparkSession, path: str, change: str) -> None:
+    seq = max(_changes(spark, path).values(), default=0) + 1
+    (spark.createDataFrame([(seq, change)], CHANGE_SCHEMA).coalesce(1)
+     .write.mode("append").parquet(f"{path}/changes"))
+
+
 def read_rows(spark: SparkSession, path: str) -> DataFrame | None:
     """The rows of a corpus folder, or None if nothing was written yet."""
-    return _read(spark, f"{path}/rows")
+    changes = _changes(spark, path)
+    rows = _read(spark, f"{path}/rows") if changes else None
+    if rows is None:
+        return None
+    names = [c for c in rows.columns if c != CHANGE]
+    rows = rows.filter(F.col(CHANGE).isin(sorted(changes)))
+    removed = _read(spark, f"{path}/removed")
+    if removed is not None:
+        order = F.broadcast(spark.createDataFrame(
+            [(n, c) for c, n in changes.items()], CHANGE_SCHEMA))
+        gone = (removed.join(order, CHANGE).groupBy(F.col("id").alias("__id"))
+                .agg(F.max("seq").alias("__gone")))
+        # Removed ids are counted once by their files' footers, and few between compactions.
+        gone = F.broadcast(gone) if removed.count() <= BROADCAST_ROWS else gone
+        rows = rows.join(order, CHANGE).join(
+            gone, (F.col("id") == F.col("__id")) & (F.col("__gone") > F.col("seq")), "left_anti")
+    return rows.select(*names)
 
 
 def read_centroids(spark: SparkSession, path: str) -> DataFrame | None:
@@ -62,14 +106,16 @@ def read_centroids(spark: SparkSession, path: str) -> DataFrame | None:
     return found.orderBy("cid")
 
 
-def read_versions(spark: SparkSession, path: str) -> DataFrame | None:
-    found = _read(spark, f"{path}/versions", "version int")
-    return None if found is None or found.isEmpty() else found
+def current_folder(spark: SparkSession, path: str, first: str) -> tuple[int, str]:
+    """Number and folder of the current version; ``first`` if none was committed."""
+    found = _read(spark, f"{path}/versions", "version int, folder string")
+    last = found.orderBy(F.desc("version")).first() if found is not None else None
+    return (last["version"], last["folder"]) if last else (0, first)
 
 
-def add_version(spark: SparkSession, path: str, version: int) -> None:
-    """Make a fully written version the current one."""
-    (spark.createDataFrame([(version,)], "version int").coalesce(1)
+def add_version(spark: SparkSession, path: str, version: int, folder: str) -> None:
+    """Make a fully written folder the current version."""
+    (spark.createDataFrame([(version, folder)], "version int, folder string").coalesce(1)
      .write.mode("append").parquet(f"{path}/versions"))
 
 
@@ -78,14 +124,14 @@ def read_index(spark: SparkSession, path: str, nprobe: int = ivf.DEFAULT_NPROBE)
     return None if centroids is None else Index(centroids, read_rows(spark, path), nprobe)
 
 
-def _save(rows: DataFrame, path: str, rows_per_file: int, mode: str,
-          shares: DataFrame | None = None, total: int | None = None) -> None:
-    """Write rows by list, a large list over as many tasks and files as it needs.
+def _save(rows: DataFrame, path: str, rows_per_file: int, change: str,
+          shares: DataFrame | None = None) -> None:
+    """Append the rows of a change by list, a large list over as many tasks and files as it needs.
 
     ``shares`` of the lists only shape files, never which rows are written; without them
     the lists are counted.
     """
-    total = rows.count() if total is None else total
+    total = rows.count()
     if shares is None:
         shares = rows.groupBy("cluster").agg((F.count("*") / F.lit(max(1, total))).alias("share"))
     slots = shares.select("cluster", F.greatest(
@@ -93,13 +139,13 @@ def _save(rows: DataFrame, path: str, rows_per_file: int, mode: str,
     slot = F.pmod(F.xxhash64("id"), F.coalesce("__slots", F.lit(1)))
     (rows.join(broadcast_if_small(slots), "cluster", "left").withColumn("__slot", slot)
      .repartition(max(1, -(-total // rows_per_file)), "cluster", "__slot")
-     .drop("__slots", "__slot").sortWithinPartitions("cluster", "id")
-     .write.partitionBy("cluster").mode(mode)
+     .drop("__slots", "__slot").withColumn(CHANGE, F.lit(change))
+     .sortWithinPartitions("cluster", "id")
+     .write.partitionBy("cluster").mode("append")
      .option("maxRecordsPerFile", rows_per_file)
-     .option("partitionOverwriteMode", "dynamic")
      # Lets a look-up by id skip the files that lack it.
      .option("parquet.bloom.filter.enabled#id", "true")
-     .option("parquet.bloom.filter.expected.ndv#id", rows_per_file)
+     .option("parquet.bloom.filter.expected.ndv#id", max(1, min(rows_per_file, total)))
      .parquet(f"{path}/rows"))
 
 
@@ -112,88 +158,105 @@ def _standard(rows: DataFrame) -> DataFrame:
     return rows.select(*first, *others, "cluster")
 
 
-def write_rows(rows: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE,
-               mode: str = "errorifexists") -> None:
-    """Write a corpus folder's rows, partitioned by list and sorted by id in each file."""
-    _save(_standard(rows), path, rows_per_file, mode)
+def _write_new(spark, rows, path, rows_per_file, shares=None) -> None:
+    if _changes(spark, path):
+        raise ValueError(f"{path} holds a corpus already")
+    change = uuid.uuid4().hex
+    _save(_standard(rows), path, rows_per_file, change, shares)
+    _commit(spark, path, change)
+
+
+def write_rows(rows: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write a new corpus folder's rows, partitioned by list and sorted by id in each file."""
+    _write_new(rows.sparkSession, rows, path, rows_per_file)
 
 
 def write_index(index: Index, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write an index to a new folder: its centroids and its rows by list."""
-    _save(_standard(index.rows), path, rows_per_file, "errorifexists", index.shares)
-    index.centroids.write.parquet(f"{path}/centroids")
+    index.centroids.write.mode("overwrite").parquet(f"{path}/centroids")
+    _write_new(index.rows.sparkSession, index.rows, path, rows_per_file, index.shares)
+
+
+def compact(spark: SparkSession, path: str, target: str,
+            rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write the live rows of a corpus folder, and its centroids, to a new folder."""
+    centroids = read_centroids(spark, path)
+    if centroids is not None:
+        centroids.write.mode("overwrite").parquet(f"{target}/centroids")
+    write_rows(read_rows(spark, path), target, rows_per_file)
+
+
+def _held(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows with one of some distinct ids; few ids reach the scan as literals."""
+    few = ids.limit(LITERAL_IDS + 1).collect()
+    if len(few) <= LITERAL_IDS:
+        return rows.filter(F.col("id").isin([r["id"] for r in few if r["id"] is not None]))
+    return rows.join(broadcast_if_small(ids), "id", "left_semi")
 
 
 def upsert_rows(spark: SparkSession, path: str, batch: DataFrame,
                 order_by: str | None = None) -> None:
     """Insert rows into a corpus folder or replace those with the same id.
 
-    Rows are assigned to their nearest list if the folder has an index.  A batch of new
-    ids is only appended.  Otherwise the lists that lose or gain a row are rewritten and
-    all others stay as they are.  Repeating a batch changes nothing.  The order column
-    itself is not stored.
+    Rows are assigned to their nearest list if the folder has an index.  Only the batch is written,
+    and the ids of the rows it replaces.  Stored columns that the batch lacks keep the replaced
+    row's values; columns that are not stored are refused.  Repeating a batch changes nothing.  The
+    order column itself is not stored.
     """
     new = ops.latest(batch, order_by)
     if order_by is not None:
         new = new.drop(order_by)
-    centroids = read_centroids(spark, path)
-    if centroids is not None:
-        new = ivf.assign(new, centroids)
     rows = read_rows(spark, path)
-    new = _standard(new)
     if rows is not None:
-        # Types follow the stored rows; vectors may be kept as floats to halve the table.
-        new = new.select(*[
-            (F.col(f.name) if f.name in new.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in rows.schema.fields])
-    # Fixed before anything is replaced, so that a retry writes the same rows.
-    new = cut_lineage(new)
-    if rows is None:
-        write_rows(new, path)
-        return
-    _rewrite(spark, path, rows, new.select("id"), new)
+        unknown = sorted(set(new.columns) - set(rows.columns) - {"cluster"})
+        if unknown:
+            raise ValueError(f"the corpus has no columns {', '.join(unknown)}")
+    # Fixed before the corpus changes, so that every step sees the same rows.
+    with fixed(new) as new:
+        if rows is not None:
+            held = [c for c in rows.columns if c not in new.columns and c != "cluster"]
+            old = _held(rows, new.select("id")).select("id", *held)
+        with fixed(old if rows is not None else new.select("id").limit(0)) as old:
+            if rows is not None and held:
+                new = new.join(old, "id", "left")
+            centroids = read_centroids(spark, path)
+            if centroids is not None:
+                new = ivf.assign(new, centroids)
+            new = _standard(new)
+            if rows is not None:
+                # Types follow the stored rows; vectors may be kept as floats to halve the table.
+                new = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                                   for f in rows.schema.fields])
+            change = uuid.uuid4().hex
+            _remove(old, path, change)
+            _save(new, path, ROWS_PER_FILE, change)
+            _commit(spark, path, change)
+
+
+def _remove(old: DataFrame, path: str, change: str) -> None:
+    if not old.isEmpty():
+        (old.select("id", F.lit(change).alias(CHANGE))
+         .write.mode("append").parquet(f"{path}/removed"))
 
 
 def delete_rows(spark: SparkSession, path: str, ids: DataFrame) -> None:
-    """Remove rows by id, rewriting only the lists they are in."""
+    """Remove rows by id; only the ids are written."""
     rows = read_rows(spark, path)
-    if rows is not None:
-        _rewrite(spark, path, rows, cut_lineage(ids.select("id").distinct()), None)
+    if rows is None:
+        return
+    with fixed(ids.select("id").distinct()) as ids, fixed(_held(rows, ids).select("id")) as old:
+        change = uuid.uuid4().hex
+        _remove(old, path, change)
+        _commit(spark, path, change)
 
 
-def delete_matching(spark: SparkSession, path: str, filter) -> None:
+def delete_matching(spark: SparkSession, path: str, filter, promoted_keys=None) -> None:
     """Remove the rows a filter matches; one without clauses removes none."""
     from findry.functions import filters
 
-    condition = filters.predicate(filter)
     rows = read_rows(spark, path)
-    if condition is not None and rows is not None:
-        delete_rows(spark, path, rows.filter(condition).select("id"))
-
-
-def _rewrite(spark, path, rows, ids, new) -> None:
-    ids = broadcast_if_small(ids)
-    touched = [r[0] for r in rows.select("id", "cluster").join(ids, "id", "left_semi")
-               .select("cluster").distinct().collect()]
-    if new is not None:
-        if not touched:
-            write_rows(new, path, mode="append")
-            return
-        touched += [r[0] for r in new.select("cluster").distinct().collect()]
-    if not touched:
-        return
-    kept = rows.filter(F.col("cluster").isin(sorted(set(touched)))).join(ids, "id", "left_anti")
-    if new is not None:
-        kept = kept.unionByName(new)
-    # The lists are replaced while they are read from, so their new content is fixed first.
-    kept = cut_lineage(kept)
-    _save(kept, path, ROWS_PER_FILE, "overwrite")
-    left = {r[0] for r in kept.select("cluster").distinct().collect()}
-    for cluster in sorted(set(touched) - left):
-        # A list that lost its last row is not part of the write above.
-        fields = [f for f in kept.schema.fields if f.name != "cluster"]
-        (spark.createDataFrame([], T.StructType(fields))
-         .write.mode("overwrite").parquet(f"{path}/rows/cluster={cluster}"))
+    if rows is not None and filters.predicate(filter) is not None:
+        delete_rows(spark, path, filters.keep(rows, filter, promoted_keys=promoted_keys).select("id"))
 
 
 def write_postings(postings: DataFrame, path: str, files: int | None = None) -> None:

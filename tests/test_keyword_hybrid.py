@@ -43,7 +43,9 @@ def tfidf_ranking(docs, queries, k):
             if shared:
                 score = 0.0
                 for w in shared:
-                    score += counts[i][w] * math.log10(len(docs) / frequency[w]) ** 2
+                    held = frequency[w]
+                    idf = math.log10(len(docs) / held) if held < len(docs) else math.log10(1.0001)
+                    score += counts[i][w] * idf ** 2
                 scored.append((-score, i))
         out += [(q, i, -s, r) for r, (s, i) in enumerate(sorted(scored)[:k], 1)]
     return out
@@ -105,11 +107,22 @@ def test_filter_and_columns(texts, indexed):
     assert all(r["content"] == dict(docs)[r["id"]] for r in found.collect())
 
 
-def test_word_in_every_document_still_matches(spark):
-    corpus = spark.createDataFrame([(1, "apple pear"), (2, "apple")], "id long, content string")
-    wanted = spark.createDataFrame([(1, "apple")], "query_id long, text string")
-    found = keyword.keyword_search(corpus, wanted, scorer="tfidf").collect()
-    assert [(r["id"], r["score"]) for r in found] == [(1, 0.0), (2, 0.0)]
+def test_word_in_every_document_still_ranks(spark):
+    corpus = spark.createDataFrame([(1, "gravel and dust"), (2, "gravel over gravel")], "id long, content string")
+    wanted = spark.createDataFrame([(1, "gravel")], "query_id long, text string")
+    found = keyword.keyword_search(corpus, wanted, scorer="tfidf").orderBy("rank").collect()
+    assert [r["id"] for r in found] == [2, 1] and found[1]["score"] > 0
+    assert found[0]["score"] == pytest.approx(2 * found[1]["score"])
+
+
+@pytest.mark.parametrize("indexed", [False, True])
+def test_words_of_any_script(spark, indexed):
+    corpus = spark.createDataFrame([(1, "une étude de cas"), (2, "tude"), (3, "教育部門 の 報告"), (4, "x")],
+                                   "id long, content string")
+    wanted = spark.createDataFrame([(1, "Étude"), (2, "教育部門")], "query_id long, text string")
+    index = keyword.postings(corpus) if indexed else None
+    found = keyword.keyword_search(corpus, wanted, scorer="tfidf", index=index).collect()
+    assert sorted((r["query_id"], r["id"]) for r in found) == [(1, 1), (2, 3)]
 
 
 def test_only_the_folders_of_the_query_words_are_read(spark, tmp_path):
@@ -132,33 +145,46 @@ def test_unknown_scorer(texts):
 # Fusion
 
 
+# Place by vector and by words of six documents (no word in common: none).
+PLACES = {"p": (1, None), "q": (2, 2), "r": (3, 1), "s": (4, None), "t": (5, 3), "u": (6, None)}
+
+
 @pytest.fixture(scope="module")
 def mixed(spark):
-    corpus = spark.createDataFrame([
-        ("vec", "banana smoothie", '{"lang": "en"}', [1.0, 0.0, 0.0]),
-        ("mid", "assorted random notes", '{"lang": "en"}', [0.7, 0.7, 0.0]),
-        ("kw", "python programming tutorial guide", '{"lang": "fr"}', [0.0, 1.0, 0.0]),
-    ], "id string, content string, metadata string, embedding array<double>")
-    wanted = spark.createDataFrame([(0, "python tutorial", [1.0, 0.0, 0.0])],
+    texts = {"p": "granite cliff", "q": "tin mine lamp", "r": "copper kettle lamp oven tin",
+             "s": "violet", "t": "oven tin", "u": "moss"}
+    corpus = spark.createDataFrame(
+        [(i, texts[i], json.dumps({"dry": i in "pqt"}), [math.cos(0.2 * v), math.sin(0.2 * v)])
+         for i, (v, _) in PLACES.items()],
+        "id string, content string, metadata string, embedding array<double>")
+    wanted = spark.createDataFrame([(7, "oven tin lamp copper", [1.0, 0.0])],
                                    "query_id long, text string, embedding array<double>")
     return corpus, wanted
 
 
 def fused(mixed, **options):
-    return hybrid.hybrid_search(*mixed, k=3, **options).orderBy("rank").collect()
+    return hybrid.hybrid_search(*mixed, **{"k": 6, **options}).orderBy("rank").collect()
+
+
+def by_hand(weight, ids=PLACES):
+    near = {i: n for n, i in enumerate(sorted(ids, key=lambda i: PLACES[i][0]), 1)}
+    said = [i for i in ids if PLACES[i][1]]
+    said = {i: n for n, i in enumerate(sorted(said, key=lambda i: PLACES[i][1]), 1)}
+    score = {i: weight / (60 + near[i]) + ((1 - weight) / (60 + said[i]) if i in said else 0) for i in ids}
+    return sorted(score.items(), key=lambda x: (-x[1], near[x[0]]))
 
 
-def test_weights_tilt_the_blend(mixed):
-    assert fused(mixed, vector_weight=1.0)[0]["id"] == "vec"
-    only_words = fused(mixed, vector_weight=0.0)
-    assert only_words[0]["id"] == "kw" and len(only_words) == 3
-    even = fused(mixed, vector_weight=0.5)
-    assert [r["id"] for r in even] == ["kw", "vec", "mid"]
-    assert [r["score"] for r in even] == pytest.approx([0.5 / 63 + 0.5 / 61, 0.5 / 61, 0.5 / 62])
+@pytest.mark.parametrize("weight", [0.0, 0.25, 0.5, 1.0])
+def test_the_blend_follows_both_rankings(mixed, weight):
+    got = [(r["id"], r["score"]) for r in fused(mixed, vector_weight=weight)]
+    want = by_hand(weight)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert [s for _, s in got] == pytest.approx([s for _, s in want])
 
 
 def test_filter_applies_to_both_sides(mixed):
-    assert {r["id"] for r in fused(mixed, filter={"lang": "en"})} == {"vec", "mid"}
+    got = [r["id"] for r in fused(mixed, filter={"dry": True})]
+    assert got == [i for i, _ in by_hand(0.5, [i for i in PLACES if i in "pqt"])]
 
 
 @pytest.mark.parametrize("weight", [1.5, -0.1])
@@ -169,7 +195,8 @@ def test_weight_out_of_range(mixed, weight):
 
 def test_contents_come_along(mixed):
     hits = fused(mixed, columns=["content", "metadata"])
-    assert hits[0]["content"].startswith("python") and json.loads(hits[0]["metadata"])["lang"] == "fr"
+    assert (hits[0]["id"], hits[0]["content"]) == ("r", "copper kettle lamp oven tin")
+    assert json.loads(hits[0]["metadata"]) == {"dry": False}
 
 
 def test_fusion_ties(spark):
@@ -185,11 +212,10 @@ def test_fusion_ties(spark):
 
 def test_diversity_beats_copies(spark):
     corpus = spark.createDataFrame(
-        [("a1", [2.0, 0.0]), ("a2", [2.0, 0.0]), ("a3", [2.0, 0.0]), ("b", [0.0, 2.0])],
-        "id string, embedding array<double>")
-    wanted = spark.createDataFrame([(0, [2.0, 0.0])], "query_id long, embedding array<double>")
-    got = mmr.mmr(corpus, wanted, 2, 4, 0.2).orderBy("rank").collect()
-    assert [r["id"] for r in got] == ["a1", "b"]
+        [(n, [1.0, 0.1, 0.0]) for n in range(5)] + [(9, [0.3, 0.0, 1.0])], "id long, embedding array<double>")
+    wanted = spark.createDataFrame([(1, [1.0, 0.0, 0.2])], "query_id long, embedding array<double>")
+    got = mmr.mmr(corpus, wanted, 2, 6, 0.3).orderBy("rank").collect()
+    assert [r["id"] for r in got] == [0, 9]
 
 
 def plain_diverse(query, candidates, k, balance):

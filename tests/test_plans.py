@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from findry.plans.oracles import ORACLES
+from findry.plans.queries import QUERIES
 from findry.sources.storage import spread
 
 FOLDER = "/root/testdata/sf0.001"
@@ -12,9 +14,9 @@ def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pairs_and_no_single_task(spark, name):
-    text = plan(entry.queries()[name](spark, FOLDER))
+    text = plan(QUERIES[name](spark, FOLDER))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert word not in text
     # Only a limit over a handful of rows may gather in one task.
@@ -23,8 +25,8 @@ def test_no_pairs_and_no_single_task(spark, name):
 
 
 def test_every_query_but_training_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"ivf_centroids"}
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == {"ivf_centroids"}
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_a_search_reads_only_ids_and_vectors_and_embeds_once(spark):
