@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from findry.functions import filters
 from findry.functions.embed import Embedder, embed
@@ -45,14 +46,16 @@ class Collection:
     def __init__(self, spark: SparkSession, path: str, embedder: Embedder | None = None,
                  metric: str = "cosine", nprobe: int = ivf.DEFAULT_NPROBE,
                  promoted_keys: Mapping[str, str] | None = None,
-                 promoted_types: Mapping[str, str] | None = None):
+                 promoted_types: Mapping[str, str] | None = None, double: bool = False):
         """``promoted_keys`` maps metadata keys to columns of their own.
 
         These are filled from the metadata when texts are added; filters on them reach the scan.
-        ``promoted_types`` names the types of those that are not strings.
+        ``promoted_types`` names the types of those that are not strings.  New corpora hold 32-bit
+        vectors, or 64-bit ones if ``double``.
         """
         self.spark, self.path, self.embedder = spark, path.rstrip("/"), embedder
         self.metric, self.nprobe = check_metric(metric), nprobe
+        self.element = T.DoubleType() if double else T.FloatType()
         self.promoted, self.kinds = dict(promoted_keys or {}), dict(promoted_types or {})
 
     @classmethod
@@ -84,7 +87,7 @@ class Collection:
     def rows(self) -> DataFrame:
         rows = storage.read_rows(self.spark, self.folder())
         if rows is None:
-            schema = corpus_schema().add("cluster", "int")
+            schema = corpus_schema(element=self.element).add("cluster", "int")
             for key, column in self.promoted.items():
                 schema = schema.add(column, self.kinds.get(key, "string"))
             return self.spark.createDataFrame([], schema)
@@ -113,7 +116,8 @@ class Collection:
             order = "position"
         # Random ids are fixed before use: the ids returned are the ids stored.
         batch = cut_lineage(batch)
-        embedded = batch.withColumn("embedding", embed(F.col("content"), self.embedder))
+        embedded = batch.withColumn("embedding", embed(F.col("content"), self.embedder)
+                                    .cast(T.ArrayType(self.element)))
         for key, column in self.promoted.items():
             if column not in embedded.columns:
                 embedded = embedded.withColumn(column, filters.promoted_value(
@@ -139,9 +143,24 @@ class Collection:
                     nprobe: int = ivf.DEFAULT_NPROBE, seed: int = 0) -> None:
         """Build (or rebuild) the list index; searches then scan ``nprobe`` lists a query."""
         index = ivf.build_index(self.rows(), n_lists, sample, iters, nprobe, seed)
-        self._switch(lambda folder: storage.write_index(index, folder))
+        fulltext = storage.has_fulltext(self.spark, self.folder())
+
+        def write(folder: str) -> None:
+            storage.write_index(index, folder)
+            if fulltext:
+                storage.ensure_fulltext(self.spark, folder)
+
+        self._switch(write)
         self.nprobe = nprobe
 
+    def ensure_fulltext_index(self) -> None:
+        """Build the full-text index if there is none; all later changes keep it up.
+
+        Keyword and hybrid searches then rank by full-text relevance unless told otherwise, and read
+        the postings of the asked words in place of all texts.
+        """
+        storage.ensure_fulltext(self.spark, self.folder())
+
     def compact(self) -> None:
         """Write the live rows anew, without those replaced or deleted."""
         before = self.folder()
@@ -188,18 +207,23 @@ class Collection:
         """The same with ``relevance`` in [0, 1]."""
         return search.with_relevance(self.similarity_search(queries, k, filter, nprobe), self.metric)
 
+    def _words(self, scorer: str | None) -> dict:
+        """The scorer of a keyword search, and the index if there is one for it."""
+        index = storage.read_fulltext(self.spark, self.folder()) if scorer in (None, "tfidf") else None
+        return {"scorer": scorer or ("overlap" if index is None else "tfidf"), "index": index}
+
     def keyword_search(self, queries, k: int = 4, filter: Mapping | None = None,
-                       scorer: str = "overlap") -> DataFrame:
-        return keyword.keyword_search(self.rows(), self._asked(queries), k, filter, scorer,
-                                      columns=SHOWN, promoted_keys=self.promoted)
+                       scorer: str | None = None) -> DataFrame:
+        return keyword.keyword_search(self.rows(), self._asked(queries), k, filter, columns=SHOWN,
+                                      promoted_keys=self.promoted, **self._words(scorer))
 
     def hybrid_search(self, queries, k: int = 4, fetch_k: int = 20, filter: Mapping | None = None,
                       vector_weight: float = 0.5, rrf_k: int = 60, nprobe: int | None = None,
-                      scorer: str = "overlap") -> DataFrame:
+                      scorer: str | None = None) -> DataFrame:
         hybrid.check_weight(vector_weight)
         return hybrid.hybrid_search(
             self.rows(), self._embedded(queries), None, k, fetch_k, filter, vector_weight, rrf_k,
-            scorer=scorer, nprobe=nprobe, **self._options())
+            nprobe=nprobe, **self._words(scorer), **self._options())
 
     def max_marginal_relevance_search(self, queries, k: int = 4, fetch_k: int = 20,
                                       lambda_mult: float = 0.5, filter: Mapping | None = None,

@@ -12,6 +12,7 @@ from findry.functions import filters
 from findry.functions.embed import Embedder, embed
 from findry.operators import ivf, topk
 from findry.schema import check_count, check_metric
+from findry.sources.lineage import cut_lineage
 
 
 def find_nearest(corpus: DataFrame, queries: DataFrame, k: int, metric: str,
@@ -63,8 +64,13 @@ def knn_single(corpus: DataFrame, vector: Sequence[float], k: int = 4, metric: s
 
 
 def embed_queries(queries: DataFrame, embedder: Embedder) -> DataFrame:
-    """Add ``embedding`` to ``(query_id, text)`` queries."""
-    return queries.withColumn("embedding", embed(F.col("text"), embedder))
+    """Add ``embedding`` to ``(query_id, text)`` queries, each embedded once.
+
+    A search looks at its queries more than once, so many of them are written to a table first.
+    """
+    embedded = queries.withColumn("embedding", embed(F.col("text"), embedder))
+    few = queries.select("query_id").limit(topk.FIRST_LOOK_ROWS + 1).count() <= topk.FIRST_LOOK_ROWS
+    return embedded if few else cut_lineage(embedded)
 
 
 def search_text(corpus: DataFrame, queries: DataFrame, embedder: Embedder, k: int = 4,

@@ -103,11 +103,12 @@ def fuse(name: str, left: str, right: str, k: int, weight: float) -> str:
   WHERE rank <= {k})"""
 
 
-def tfidf(k: int) -> str:
+def tfidf(k: int, source: str = "") -> str:
+    """Full-text relevance of ``documents``, or of the table ``source`` defines over them."""
     stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
     keep = f"length(w) >= {MIN_TOKEN_LENGTH} AND w NOT IN ({stop})"
     return f"""
-WITH tf AS (
+WITH {source}tf AS (
   SELECT id, w, count(*) AS tf
   FROM (SELECT doc_id AS id, {TEXT_WORDS.format(text='text')} AS w FROM documents)
   WHERE {keep} GROUP BY id, w),
@@ -317,6 +318,24 @@ FROM (SELECT doc_id AS id, {TEXT_WORDS.format(text='text')} AS w FROM documents)
 WITH {OVERLAP}, {overlap('found', 10)} SELECT query_id, id, rank, score FROM found""",
     "keyword_tfidf": tfidf(10),
     "keyword_indexed": tfidf(10),
+    "keyword_index_upkeep": tfidf(10, """
+batch AS (
+  SELECT conv_id * 15 AS doc_id, text FROM conversations
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1),
+kept AS (
+  SELECT * FROM (
+    SELECT * FROM batch UNION ALL
+    SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM batch))
+  WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
+""").replace("FROM documents) AS total", "FROM kept) AS total").replace(" AS w FROM documents)", " AS w FROM kept)"),
+    "upsert_columns": """
+WITH batch AS (
+  SELECT conv_id * 15 AS id, text, role FROM conversations
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1)
+SELECT id, CAST(length(b.text) AS INTEGER) AS n_content, d.lang, role AS source, d.n_chars
+FROM batch b LEFT JOIN documents d ON d.doc_id = id UNION ALL
+SELECT doc_id, CAST(length(text) AS INTEGER), lang, source, n_chars FROM documents
+WHERE doc_id NOT IN (SELECT id FROM batch)""",
     "rrf_fuse": f"""
 WITH {BAG_SEARCH}, {nearest('a', 'bag', 'asked', 10)}, {nearest('b', 'bag', 'asked', 10, 'euclidean')},
 {fuse('fused', 'a', 'b', 6, 0.7)} SELECT query_id, id, rank, {six('score')} FROM fused""",

@@ -7,6 +7,8 @@ of words.  Floats are rounded so that results can be compared across engines.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -21,6 +23,8 @@ from findry.operators import hybrid, ivf, keyword, mmr, search
 from findry.operators.context import assemble_context
 from findry.operators.topk import broadcast_if_small
 from findry.schema import Columns, corpus_from_columns
+from findry.sources import storage
+from findry.sources.lineage import shared_folder
 from findry.sources.storage import spread
 
 QUERIES: dict = {}
@@ -363,6 +367,41 @@ def keyword_indexed(spark, folder):
     return rounded(found.select("query_id", "id", "rank", "score"), "score")
 
 
+@query
+def keyword_index_upkeep(spark, folder):
+    """A stored corpus with a full-text index through an upsert and a deletion, then searched."""
+    path = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    empty = F.array().cast("array<float>").alias("embedding")
+    storage.write_rows(texts(spark, folder).select("id", "content", "metadata", empty), path)
+    storage.ensure_fulltext(spark, path)
+    batch = read(spark, folder, "conversations").select(
+        (F.col("conv_id") * 15).alias("id"), F.col("text").alias("content"),
+        F.lit("{}").alias("metadata"), empty, "turn")
+    storage.upsert_rows(spark, path, batch, "turn")
+    storage.delete_rows(spark, path, read(spark, folder, "labels").select(F.col("doc_id").alias("id")))
+    found = keyword.keyword_search(
+        storage.read_rows(spark, path), text_queries(spark, folder), 10, scorer="tfidf",
+        index=storage.read_fulltext(spark, path))
+    return rounded(found.select("query_id", "id", "rank", "score"), "score")
+
+
+@query
+def upsert_columns(spark, folder):
+    """A stored corpus with columns of its own; the batch lacks one of them and brings new ids."""
+    path = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    base = read(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), F.col("text").alias("content"), metadata_column().alias("metadata"),
+        F.array().cast("array<float>").alias("embedding"), "lang", "source")
+    storage.write_rows(base, path)
+    batch = read(spark, folder, "conversations").select(
+        (F.col("conv_id") * 15).alias("id"), F.col("text").alias("content"),
+        F.col("role").alias("source"), "turn")
+    storage.upsert_rows(spark, path, batch, "turn")
+    return storage.read_rows(spark, path).select(
+        "id", F.length("content").alias("n_content"), "lang", "source",
+        F.get_json_object("metadata", "$.n_chars").cast("long").alias("n_chars"))
+
+
 @query
 def rrf_fuse(spark, folder):
     """Nearest by cosine fused with nearest by euclidean distance."""

@@ -1,7 +1,7 @@
 """Corpora, indexes and postings as Parquet folders.
 
 A corpus folder holds ``rows/cluster=<n>/``, ``removed/`` (ids), ``changes/`` and, once an index is
-built, ``centroids/``.  Rows no list has been chosen for lie in list ``-1``, which no search probes.
+built, ``centroids/``; with a full-text index also ``postings/``, written by the same changes.  Rows no list has been chosen for lie in list ``-1``, which no search probes.
 
 Nothing is ever overwritten.  A change appends its new rows and the ids it replaces or deletes,
 each marked with a name of its own, and last of all a line in ``changes`` that gives the name its
@@ -79,8 +79,12 @@ def _commit(spark: SparkSession, path: str, change: str) -> None:
 
 def read_rows(spark: SparkSession, path: str) -> DataFrame | None:
     """The rows of a corpus folder, or None if nothing was written yet."""
-    changes = _changes(spark, path)
-    rows = _read(spark, f"{path}/rows") if changes else None
+    return _live(spark, path, "rows", _changes(spark, path))
+
+
+def _live(spark: SparkSession, path: str, part: str, changes: dict[str, int]) -> DataFrame | None:
+    """The rows (or postings) that committed changes wrote and no later one removed."""
+    rows = _read(spark, f"{path}/{part}") if changes else None
     if rows is None:
         return None
     names = [c for c in rows.columns if c != CHANGE]
@@ -184,6 +188,8 @@ def compact(spark: SparkSession, path: str, target: str,
     if centroids is not None:
         centroids.write.mode("overwrite").parquet(f"{target}/centroids")
     write_rows(read_rows(spark, path), target, rows_per_file)
+    if has_fulltext(spark, path):
+        ensure_fulltext(spark, target)
 
 
 def _held(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -230,6 +236,8 @@ def upsert_rows(spark: SparkSession, path: str, batch: DataFrame,
             change = uuid.uuid4().hex
             _remove(old, path, change)
             _save(new, path, ROWS_PER_FILE, change)
+            if has_fulltext(spark, path):
+                _save_postings(new, path, change)
             _commit(spark, path, change)
 
 
@@ -259,7 +267,40 @@ def delete_matching(spark: SparkSession, path: str, filter, promoted_keys=None)
         delete_rows(spark, path, filters.keep(rows, filter, promoted_keys=promoted_keys).select("id"))
 
 
-def write_postings(postings: DataFrame, path: str, files: int | None = None) -> None:
+def has_fulltext(spark: SparkSession, path: str) -> bool:
+    """Whether a corpus folder has a full-text index, which every change then keeps up."""
+    built = _read(spark, f"{path}/fulltext", f"{CHANGE} string")
+    return built is not None and bool({r[CHANGE] for r in built.collect()} & changes_of(spark, path))
+
+
+def ensure_fulltext(spark: SparkSession, path: str) -> None:
+    """Build the postings of all rows of a corpus folder unless it has them."""
+    rows = read_rows(spark, path)
+    if rows is None or has_fulltext(spark, path):
+        return
+    change = uuid.uuid4().hex
+    _save_postings(rows, path, change)
+    (spark.createDataFrame([(change,)], f"{CHANGE} string").coalesce(1)
+     .write.mode("append").parquet(f"{path}/fulltext"))
+    _commit(spark, path, change)
+
+
+def read_fulltext(spark: SparkSession, path: str) -> DataFrame | None:
+    """The postings of the live rows of a corpus folder, or None if it has no full-text index."""
+    if not has_fulltext(spark, path):
+        return None
+    return _live(spark, path, "postings", _changes(spark, path))
+
+
+def _save_postings(rows: DataFrame, path: str, change: str) -> None:
+    from findry.operators import keyword
+
+    write_postings(keyword.postings(rows.select("id", "content")).withColumn(CHANGE, F.lit(change)),
+                   f"{path}/postings", mode="append")
+
+
+def write_postings(postings: DataFrame, path: str, files: int | None = None,
+                   mode: str = "errorifexists") -> None:
     """Write a postings table so that a search for few words reads few files.
 
     Words are hashed into folders and sorted inside; splitting by (word, id) ranges gives
@@ -269,7 +310,7 @@ def write_postings(postings: DataFrame, path: str, files: int | None = None) ->
     order = ["bucket", "term", "id"]
     parts = [files] if files else []
     (bucketed.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
-     .write.partitionBy("bucket").parquet(path))
+     .write.partitionBy("bucket").mode(mode).parquet(path))
 
 
 def ensure_postings(corpus: DataFrame, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from findry.collection import Collection
 from findry.functions.embed import HashedWords
 from findry.operators import corpus as ops
-from findry.operators import ivf, search, topk
+from findry.operators import ivf, keyword, search, topk
 from findry.schema import Columns, corpus_from_columns
 from findry.sources import storage
 from findry.streaming.ingest import stream_into
@@ -345,6 +345,35 @@ def test_promoted_keys_reach_the_scan(spark, tmp_path):
     assert made.delete(filter={"theme": "fruit"}) and made.rows().count() == 3
 
 
+def test_the_fulltext_index_follows_every_change(spark, tmp_path):
+    made = letters(spark, tmp_path / "c")
+    assert {r["score"] for r in made.keyword_search("amber beads", 4).collect()} == {1.0, 2.0}
+    for _ in range(2):
+        made.ensure_fulltext_index()
+
+    def agrees(*asked):
+        for text in asked:
+            found = made.keyword_search(text, 5)
+            assert any("/postings/" in f for f in found.inputFiles())
+            plain = keyword.keyword_search(made.rows(), made._asked(text), 5, scorer="tfidf")
+            keys = [(r["id"], round(r["score"], 9)) for r in found.orderBy("rank").collect()]
+            assert keys == [(r["id"], round(r["score"], 9)) for r in plain.orderBy("rank").collect()]
+        return keys
+
+    agrees("amber beads", "orchard")
+    made.add_texts(["beads of jet", "amber jet jet"], ids=["k2", "k9"])
+    made.delete(["k1"])
+    assert [i for i, _ in agrees("amber", "beads", "lantern", "jet")] == ["k9", "k2"]
+    made.build_index(n_lists=2)
+    made.add_texts(["lantern jet"], ids=["k1"])
+    agrees("amber", "lantern", "jet")
+    made.compact()
+    made.add_texts(["lantern lantern"], ids=["k3"])
+    assert [i for i, _ in agrees("jet", "lantern")] == ["k3", "k1"]
+    assert made.hybrid_search("lantern", 2).count() == 2
+    assert made.rows().schema["embedding"].dataType.simpleString() == "array<float>"
+
+
 class Crash(Exception):
     pass
 

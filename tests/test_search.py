@@ -3,6 +3,7 @@
 import json
 import math
 import random
+import uuid
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from findry.functions import distance as dist
 from findry.functions import kernels
 from findry.functions.embed import HashedWords, embed, hashed_word_counts
 from findry.operators import corpus as ops
-from findry.operators import search, topk
+from findry.operators import ivf, search, topk
 
 SCHEMA = "id string, content string, metadata string, embedding array<double>"
 QUERY = "query_id long, embedding array<double>"
@@ -161,6 +162,53 @@ def ask(spark, corpus, text, k, **options):
                               **options).orderBy("rank").collect()
 
 
+def test_every_query_text_is_embedded_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(topk, "FIRST_LOOK_ROWS", 50)
+    monkeypatch.setattr(topk, "BROADCAST_BYTES", 0)
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    def counting(texts):
+        (seen / uuid.uuid4().hex).write_text(str(len(texts)))
+        return HashedWords()(texts)
+
+    queries = spark.createDataFrame([(i, f"word{i}") for i in range(120)], "query_id long, text string")
+    corpus = bag_corpus(spark, [f"word{i}" for i in range(40)], [{}] * 40, [f"{i:03}" for i in range(40)])
+    assert search.search_text(corpus, queries, counting, 2).count() == 240
+    assert sum(int(f.read_text()) for f in seen.iterdir()) == 120
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "euclidean"])
+@pytest.mark.parametrize("budget", [1 << 30, 0])
+def test_vectors_that_cannot_be_ranked_hide_no_others(spark, metric, budget):
+    good = [(i, [1.0, float(i)]) for i in range(12)]
+    bad = [(100, [float("nan"), 1.0]), (101, [float("inf"), 1.0]), (102, None), (103, [None, 1.0]),
+           (104, [-float("inf"), float("nan")])]
+    asked = [(1, [1.0, 2.0]), (2, None), (3, [float("nan"), 0.0]), (4, [0.0, 1.0])]
+    corpus = [spark.createDataFrame(rows, "id long, embedding array<double>") for rows in (good, good + bad)]
+    wanted = [spark.createDataFrame(rows, QUERY) for rows in ([asked[0], asked[3]], asked)]
+    want = topk.nearest_rows(corpus[0], wanted[0], 5, metric)[0].collect()
+    for parts in (1, 4):
+        got = topk.nearest_rows(corpus[1].repartition(parts), wanted[1], 5, metric, budget)[0].collect()
+        assert sorted(got) == sorted(want) and len(want) == 10
+
+
+def test_a_table_that_begins_with_nulls_is_measured_whole(spark, monkeypatch):
+    monkeypatch.setattr(topk, "FIRST_LOOK_ROWS", 20)
+    rows = spark.createDataFrame([(i, None if i < 90 else [1.0] * 50) for i in range(200)],
+                                 "id long, embedding array<double>").coalesce(1)
+    side = topk.measure(rows, "embedding", 10_000)
+    assert side.local is None and (side.rows, side.dim) == (200, 50)
+
+
+def test_a_small_sample_of_a_large_corpus_is_refused(spark):
+    rows = spark.range(300).select("id", F.array(F.col("id").cast("double")).alias("embedding"))
+    with pytest.raises(ValueError):
+        ivf.train(rows, 50, sample=20)
+    sparse = rows.select("id", F.when(F.col("id") % 50 == 0, F.col("embedding")).alias("embedding"))
+    assert ivf.train(sparse, 3, sample=5, iters=2).count() == 3
+
+
 SHELF = {"m1": ("rain over the harbour tonight", "weather"), "m2": ("harbour ferry timetable", "travel"),
          "m3": ("slow train through the hills", "travel"), "m4": ("bread with seeds", "kitchen")}
 
