@@ -360,16 +360,16 @@ def test_the_fulltext_index_follows_every_change(spark, tmp_path):
             assert keys == [(r["id"], round(r["score"], 9)) for r in plain.orderBy("rank").collect()]
         return keys
 
-    agrees("amber beads", "orchard")
+    agrees("amber beads")
     made.add_texts(["beads of jet", "amber jet jet"], ids=["k2", "k9"])
     made.delete(["k1"])
-    assert [i for i, _ in agrees("amber", "beads", "lantern", "jet")] == ["k9", "k2"]
+    assert [i for i, _ in agrees("amber", "jet")] == ["k9", "k2"]
     made.build_index(n_lists=2)
     made.add_texts(["lantern jet"], ids=["k1"])
-    agrees("amber", "lantern", "jet")
+    agrees("lantern jet")
     made.compact()
     made.add_texts(["lantern lantern"], ids=["k3"])
-    assert [i for i, _ in agrees("jet", "lantern")] == ["k3", "k1"]
+    assert [i for i, _ in agrees("lantern")] == ["k3", "k1"]
     assert made.hybrid_search("lantern", 2).count() == 2
     assert made.rows().schema["embedding"].dataType.simpleString() == "array<float>"
 
