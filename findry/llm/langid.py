@@ -8,8 +8,9 @@ probabilities per language with all interpolation done.  A text goes to the lang
 cross-entropy per character.  A text is rejected if even that is beyond what training texts of that
 language show, allowing for its length; the limit is calibrated on a bounded sample of them.
 
-The arrays hold at most ``ENTRIES`` 4-grams: beyond that, those seen least often over all texts are
-left out, as in any pruned model.
+Arrays of up to ``ENTRIES`` counts are broadcast.  Of more, none is left out: discounts, totals and
+continuation counts are computed in Spark and stay in tables, and texts are scored in blocks, each of
+which joins its different 4-grams with those tables.
 
 A null text, or one without a letter, is ``und`` with score 0, and counts as rejected.  A training row
 without language, text or letters is not learned from; a language without calibrated texts rejects none.  With no training rows every text is ``und``.
@@ -23,6 +24,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +33,10 @@ from pyspark.sql import types as T
 from findry.llm.scratch import Scratch
 
 ORDER = 4
+# Counts of a model that is broadcast, at most; a larger one stays in tables.
 ENTRIES = 4_000_000
+# Characters of the texts that are scored together against a model in tables.
+BLOCK_CHARS = 1 << 22
 # Training texts the rejection limit is calibrated on, at most (expected number of a hash sample,
 # and a tenth of them all at most).
 CALIBRATION = 4_000
@@ -110,7 +116,10 @@ def gram_counts(train: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """``keys[k]`` and ``logs[k]``: sorted k-grams and their log2 probabilities; contexts likewise."""
+    """``keys[k]`` and ``logs[k]``: sorted k-grams and their log2 probabilities; contexts likewise.
+
+    A model in tables has ``stored[k]`` instead: what is seen of k-grams and the weights of contexts.
+    """
 
     langs: list[str]
     keys: dict[int, np.ndarray] = field(default_factory=dict)
@@ -118,6 +127,7 @@ class Model:
     contexts: dict[int, np.ndarray] = field(default_factory=dict)
     weights: dict[int, np.ndarray] = field(default_factory=dict)
     limits: dict[str, tuple[float, float]] = field(default_factory=dict)
+    stored: dict[int, tuple[DataFrame, DataFrame]] = field(default_factory=dict)
 
     def log_probabilities(self, codes: np.ndarray, k: int = ORDER) -> np.ndarray:
         if k == 0:
@@ -153,6 +163,13 @@ def _trust(size):
     return np.sqrt(size / (size + 60.0))
 
 
+class _Block(Model):
+    """All 4-grams of a block of texts, seen in training or not, with their log2 probabilities."""
+
+    def log_probabilities(self, codes: np.ndarray, k: int = ORDER) -> np.ndarray:
+        return self.logs[k][np.searchsorted(self.keys[k], codes)]
+
+
 def _look_up(keys: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     place = np.searchsorted(keys, codes)
     place[place == len(keys)] = 0
@@ -203,6 +220,132 @@ def build(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     return model
 
 
+def build_tables(counts: DataFrame, scratch: Scratch) -> Model:
+    """The model of ``(lang, code, n)`` of any size, in tables; the probabilities are those of ``build``."""
+    spark = counts.sparkSession
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    model, level = Model(langs), counts
+    for k in range(ORDER, 0, -1):
+        if k < ORDER:
+            level = scratch.keep(
+                level.groupBy("lang", F.col("code").bitwiseAND(F.lit(_MASKS[k])).alias("code"))
+                .agg(F.count("*").alias("n")), f"level{k}")
+        number = {r["lang"]: r for r in level.groupBy("lang").agg(
+            F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).collect()}
+        discounts = F.broadcast(spark.createDataFrame(
+            [(lang, i, float(np.clip(number[lang]["once"] / max(
+                1, number[lang]["once"] + 2 * number[lang]["twice"]), 0.1, 0.95)))
+             for i, lang in enumerate(langs)], "lang string, place int, discount double"))
+        rows = level.join(discounts, "lang").select(
+            "place", "discount", "code", F.shiftrightunsigned("code", 16).alias("context"), "n")
+        contexts = scratch.keep(
+            rows.groupBy("place", "context")
+            .agg(F.sum("n").alias("total"),
+                 (F.first("discount") * F.count("*") / F.sum("n")).alias("value")), f"contexts{k}")
+        direct = (rows.join(contexts.select("place", "context", "total"), ["place", "context"])
+                  .select("code", "place", (F.greatest(F.col("n") - F.col("discount"), F.lit(0.0))
+                                            / F.col("total")).alias("value")))
+        model.stored[k] = tuple(
+            scratch.keep(frame.groupBy(key).agg(F.collect_list(F.struct("place", "value")).alias(name)),
+                         f"{name}{k}")
+            for frame, key, name in ((direct, "code", "direct"), (contexts, "context", "weight")))
+        scratch.drop(f"contexts{k}", f"level{k + 1}")
+    scratch.drop("level1")
+    return model
+
+
+def _dense(lists: pa.Array, height: int, width: int, empty: float) -> np.ndarray:
+    """One row per list of (place, value), ``empty`` where there is none."""
+    out = np.full((height, width), empty)
+    parts = lists.flatten()
+    row = np.repeat(np.arange(height), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+    out[row, parts.field("place").to_numpy()] = parts.field("value").to_numpy()
+    return out
+
+
+def _probabilities(codes: DataFrame, model: Model) -> DataFrame:
+    """``(code, p)`` of different 4-grams: their probabilities under every language."""
+    wanted = {ORDER: codes}
+    for k in range(ORDER - 1, 0, -1):
+        wanted[k] = wanted[k + 1].select(
+            F.col("code").bitwiseAND(F.lit(_MASKS[k])).alias("code")).distinct()
+    width, below = len(model.langs), None
+    for k in range(1, ORDER + 1):
+        seen, weights = model.stored[k]
+        rows = (wanted[k].withColumn("context", F.shiftrightunsigned("code", 16))
+                .join(seen, "code", "left").join(weights, "context", "left"))
+        if below is not None:
+            rows = rows.withColumn("lower", F.col("code").bitwiseAND(F.lit(_MASKS[k - 1]))).join(
+                below.select(F.col("code").alias("lower"), "p"), "lower")
+        names = ["code", "direct", "weight", *(["p"] if below is not None else [])]
+
+        def run(batches):
+            for batch in batches:
+                height = batch.num_rows
+                lower = 1.0 / ALPHABET if batch.num_columns == 3 else \
+                    batch.column(3).flatten().to_numpy().reshape(height, width)
+                p = _dense(batch.column(1), height, width, 0.0) \
+                    + _dense(batch.column(2), height, width, 1.0) * lower
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.ListArray.from_arrays(
+                        np.arange(height + 1, dtype=np.int32) * width, pa.array(p.ravel()))],
+                    ["code", "p"])
+
+        below = rows.select(*names).mapInArrow(run, "code long, p array<double>")
+    return below
+
+
+def _measured(docs: DataFrame, model: Model, measure, schema) -> DataFrame:
+    """``measure(model, columns)`` of all rows of ``docs``, which have a column ``text``."""
+    spark, names = docs.sparkSession, docs.columns
+    place = names.index("text")
+    if not model.stored:
+        held = spark.sparkContext.broadcast(model)
+        return docs.mapInArrow(
+            lambda batches: (measure(held.value, batch) for batch in batches), schema)
+    scratch = Scratch(spark, "langid-blocks")
+
+    def cut(batches):
+        task, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            # Rows without text fill a block too.
+            ends = size + np.cumsum(pc.fill_null(pc.utf8_length(batch.column(place)), 0).to_numpy() + 64)
+            size = int(ends[-1]) if len(ends) else size
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(task + ends // BLOCK_CHARS)], [*names, "__block"])
+
+    def found(batches):
+        for batch in batches:
+            blocks = batch.column(0).to_numpy()
+            for block in np.unique(blocks):
+                texts = batch.column(1).filter(pa.array(blocks == block)).to_pylist()
+                for group in _in_groups(texts):
+                    codes = np.unique(grams(group)[0])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(codes), block)), pa.array(codes.view(np.int64))],
+                        ["__block", "code"])
+
+    cut_schema = T.StructType([*docs.schema.fields, T.StructField("__block", T.LongType())])
+    blocks = scratch.keep(docs.mapInArrow(cut, cut_schema), "texts")
+    pairs = scratch.keep(blocks.select("__block", "text").mapInArrow(found, "__block long, code long")
+                         .distinct(), "pairs")
+    codes = scratch.keep(pairs.select("code").distinct(), "codes")
+    table = pairs.join(_probabilities(codes, model), "code").select("__block", "code", "p")
+    langs, limits = model.langs, model.limits
+
+    def score(texts: pa.Table, table: pa.Table) -> pa.Table:
+        own = _Block(langs, limits=limits)
+        codes = table.column("code").to_numpy().view(np.uint64)
+        order = np.argsort(codes)
+        logs = np.log2(table.column("p").combine_chunks().flatten().to_numpy()
+                       .reshape(len(codes), len(langs))) if len(codes) else np.zeros((0, len(langs)))
+        own.keys[ORDER], own.logs[ORDER] = codes[order], logs[order]
+        return pa.Table.from_batches([measure(own, b) for b in texts.select(names).to_batches()])
+
+    return (blocks.groupBy("__block").cogroup(table.groupBy("__block"))
+            .applyInArrow(score, schema))
+
+
 def _in_groups(texts):
     """Texts in groups of bounded size."""
     group, size = [], 0
@@ -226,40 +369,32 @@ def train(docs: DataFrame, entries: int = ENTRIES, calibration: int = CALIBRATIO
     # The calibration sample is not learned from, so its entropies are those of new texts.
     picked = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
     counts = scratch.keep(gram_counts(known.where(~picked)), "counts")
-    if counts.count() > entries:
-        sizes = sorted(counts.groupBy("n").count().collect(), reverse=True)
-        total, least = 0, sizes[0]["n"] + 1
-        for row in sizes:
-            if total + row["count"] > entries:
-                break
-            total, least = total + row["count"], row["n"]
-        counts = counts.where(F.col("n") >= least)
-    table = counts.toArrow()
-    scratch.drop("counts")
-    if not table.num_rows:
+    number = counts.count()
+    if not number:
+        scratch.drop("counts")
         return None
-    langs = table.column("lang").to_numpy()
-    codes = table.column("code").to_numpy().view(np.uint64)
-    n = table.column("n").to_numpy()
-    model = build({str(lang): (codes[langs == lang], n[langs == lang]) for lang in set(langs)})
-    held = spark.sparkContext.broadcast(model)
-
-    def measure(batches):
-        own = held.value
-        for batch in batches:
-            found = [own.entropies(g) for g in _in_groups(batch.column(1).to_pylist())]
-            if not found:
-                continue
-            entropy, size = (np.concatenate(x) for x in zip(*found))
-            column = [own.langs.index(x) if x in own.langs else 0 for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(entropy[np.arange(len(column)), column]),
-                 pa.array(size)], ["lang", "entropy", "size"])
+    if number > entries:
+        model = build_tables(counts, scratch)
+    else:
+        table = counts.toArrow()
+        langs = table.column("lang").to_numpy()
+        codes = table.column("code").to_numpy().view(np.uint64)
+        n = table.column("n").to_numpy()
+        model = build({str(lang): (codes[langs == lang], n[langs == lang]) for lang in set(langs)})
+    scratch.drop("counts")
+
+    def measure(own, batch):
+        found = [own.entropies(g) for g in _in_groups(batch.column(1).to_pylist())]
+        entropy, size = (np.concatenate(x) for x in zip(*found)) if found else (
+            np.zeros((0, len(own.langs))), np.zeros(0, np.int64))
+        column = [own.langs.index(x) if x in own.langs else 0 for x in batch.column(0).to_pylist()]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(entropy[np.arange(len(column)), column]), pa.array(size)],
+            ["lang", "entropy", "size"])
 
     sample = known.where(picked).select("lang", "text")
-    seen = sample.mapInArrow(measure, "lang string, entropy double, size long").where("size > 0")
-    seen = seen.toPandas()
-    held.destroy()
+    seen = _measured(sample, model, measure, "lang string, entropy double, size long")
+    seen = seen.where("size > 0").toPandas()
     for lang, rows in seen.groupby("lang"):
         usual = float(rows["entropy"].median())
         off = (rows["entropy"] - usual) * _trust(rows["size"])
@@ -269,7 +404,8 @@ def train(docs: DataFrame, entries: int = ENTRIES, calibration: int = CALIBRATIO
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``rejected``; one pass, no shuffle.
+    """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``rejected``; one pass without a shuffle if
+    the model is broadcast.
 
     The score is the share of the chosen language among 2 ** -(weighted entropy) of all.
     Columns of these names in the input are replaced.
@@ -282,31 +418,28 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()),
                            T.StructField("rejected", T.BooleanType())])
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        own = held.value
-        for batch in batches:
-            names, scores, rejects = [], [], []
-            for group in _in_groups(batch.column(place).to_pylist()):
-                entropy, sizes = own.entropies(group)
-                best = entropy.argmin(axis=1)
-                least = entropy.min(axis=1)
-                weight = np.minimum(sizes, 100)[:, None] / 4
-                score = 1 / np.exp2(-(entropy - least[:, None]) * weight).sum(axis=1)
-                for i, size in enumerate(sizes.tolist()):
-                    if not size:
-                        names.append(UNDETERMINED)
-                        scores.append(0.0)
-                        rejects.append(True)
-                        continue
-                    lang = own.langs[best[i]]
-                    names.append(lang)
-                    scores.append(float(score[i]))
-                    rejects.append(bool(own.beyond(lang, least[i], size)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()),
-                 pa.array(rejects, pa.bool_())],
-                [*batch.schema.names, "lang_pred", "score", "rejected"])
 
-    return docs.mapInArrow(run, schema)
+    def measure(own, batch):
+        names, scores, rejects = [], [], []
+        for group in _in_groups(batch.column(place).to_pylist()):
+            entropy, sizes = own.entropies(group)
+            best = entropy.argmin(axis=1)
+            least = entropy.min(axis=1)
+            weight = np.minimum(sizes, 100)[:, None] / 4
+            score = 1 / np.exp2(-(entropy - least[:, None]) * weight).sum(axis=1)
+            for i, size in enumerate(sizes.tolist()):
+                if not size:
+                    names.append(UNDETERMINED)
+                    scores.append(0.0)
+                    rejects.append(True)
+                    continue
+                lang = own.langs[best[i]]
+                names.append(lang)
+                scores.append(float(score[i]))
+                rejects.append(bool(own.beyond(lang, least[i], size)))
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()),
+             pa.array(rejects, pa.bool_())],
+            [*batch.schema.names, "lang_pred", "score", "rejected"])
+
+    return _measured(docs, model, measure, schema)

@@ -108,3 +108,24 @@ def test_odd_rows(spark):
     none = langid.identify(docs, None).collect()
     assert {r["lang_pred"] for r in none} == {"und"} and len(none) == len(rows)
     assert langid.identify(no_documents(spark), model).count() == 0
+
+
+def test_a_model_in_tables_has_the_same_probabilities_and_keeps_a_rare_language(spark):
+    rnd = random.Random(3)
+    letters = {"aa": "abcdefghijklmn", "bb": "klmnopqrstuvw", "zz": "mnopxyz"}
+    rows = [(i, prose(rnd, 30, letters["aa" if i % 2 else "bb"]), "aa" if i % 2 else "bb")
+            for i in range(200)]
+    rows += [(1000 + i, prose(rnd, 1, letters["zz"]), "zz") for i in range(4)]
+    rows += [(2000 + i, prose(rnd, 2, letters["zz"]), None) for i in range(9)] + [(3000, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole, stored = langid.train(docs), langid.train(docs, entries=1000)
+    assert stored.stored and not stored.keys and stored.langs == whole.langs == ["aa", "bb", "zz"]
+    want = {r["doc_id"]: r for r in langid.identify(docs, whole).collect()}
+    got = {r["doc_id"]: r for r in langid.identify(docs, stored).collect()}
+    assert len(got) == len(rows) and got.keys() == want.keys()
+    for i, r in got.items():
+        assert r["lang_pred"] == want[i]["lang_pred"] and r["rejected"] == want[i]["rejected"]
+        assert abs(r["score"] - want[i]["score"]) < 1e-3
+    assert all(got[2000 + i]["lang_pred"] == "zz" for i in range(9))
+    for lang, limit in whole.limits.items():
+        assert np.allclose(limit, stored.limits[lang], atol=1e-3)
