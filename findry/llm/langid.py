@@ -6,14 +6,17 @@ below by absolute discounting, and the lowest with a uniform one.  The union of
 in sorted arrays of 64-bit hashes (four 16-bit units, a perfect hash), beside them one column of log
 probabilities per language with all interpolation done.  A text goes to the language of the lowest
 cross-entropy per character.  A text is rejected if even that is beyond what training texts of that
-language show, allowing for its length; the limit is calibrated on a bounded sample of them.
+language show, allowing for its length; the limit is calibrated on a bounded sample of every language,
+which is not learned from.  Of a language of few texts all are learned from, and models of parts of them
+measure the others; their spread is that of all languages together.
 
 Arrays of up to ``ENTRIES`` counts are broadcast.  Of more, none is left out: discounts, totals and
 continuation counts are computed in Spark and stay in tables, and texts are scored in blocks, each of
 which joins its different 4-grams with those tables.
 
 A null text, or one without a letter, is ``und`` with score 0, and counts as rejected.  A training row
-without language, text or letters is not learned from; a language without calibrated texts rejects none.  With no training rows every text is ``und``.
+without language, text or letters is not learned from; a language without calibrated texts takes
+the limit of all languages, and rejects none if there is no calibrated text at all.  With no training rows every text is ``und``.
 Ties go to the language first in order.  Extra columns pass through ``identify``.
 """
 
@@ -23,6 +26,7 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -37,9 +41,12 @@ ORDER = 4
 ENTRIES = 4_000_000
 # Characters of the texts that are scored together against a model in tables.
 BLOCK_CHARS = 1 << 22
-# Training texts the rejection limit is calibrated on, at most (expected number of a hash sample,
-# and a tenth of them all at most).
-CALIBRATION = 4_000
+# Training texts of a language its rejection limit is calibrated on, at most (and a tenth of them all
+# at most).
+CALIBRATION = 1_000
+# A language with fewer calibration texts takes the spread of all languages.
+FEW = 30
+FOLDS = 5
 UNDETERMINED = "und"
 ALPHABET = 1 << 16
 GROUP_CHARS = 1 << 20
@@ -360,15 +367,73 @@ def _in_groups(texts):
         yield group
 
 
+def _cross_fitted(rows: pa.Table) -> pa.Table:
+    """``(lang, entropy, size)`` of all texts of one language, each under a model of the others."""
+    lang = rows.column("lang")[0].as_py()
+    normal = sorted(filter(None, map(normalise, rows.column("text").to_pylist())))
+    if len(normal) == 1:  # halves stand for texts
+        words = normal[0].split()
+        half = len(words) // 2
+        normal = [n for n in map(normalise, (" ".join(words[:half]), " ".join(words[half:]))) if n]
+    entropy, sizes = [], []
+    folds = min(FOLDS, len(normal))
+    for fold in range(folds if folds > 1 else 0):
+        held: tuple = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        for i, text in enumerate(normal):
+            if i % folds != fold:
+                codes, n = np.unique(grams([text])[0], return_counts=True)
+                held = _sum_up(np.concatenate([held[0], codes]), np.concatenate([held[1], n]))
+        found, size = build({lang: held}).entropies(normal[fold::folds])
+        entropy += found[:, 0].tolist()
+        sizes += size.tolist()
+    return pa.table({"lang": pa.array([lang] * len(sizes), pa.string()),
+                     "entropy": pa.array(entropy, pa.float64()), "size": pa.array(sizes, pa.int64())})
+
+
+def _calibrate(model: Model, seen: pd.DataFrame) -> None:
+    """Limits of all languages from ``(lang, entropy, size)`` of texts that are not learned from."""
+    usual = seen.groupby("lang")["entropy"].median()
+    off = (seen["entropy"] - seen["lang"].map(usual)) * _trust(seen["size"])
+
+    def spread(some):
+        # Three times what one text in a hundred exceeds, one bit at least.
+        return max(1.0, 3 * float(some.quantile(0.99)))
+
+    for lang in model.langs:
+        own = off[seen["lang"] == lang]
+        if len(own) >= FEW:
+            model.limits[lang] = float(usual[lang]), spread(own)
+        elif len(off):
+            model.limits[lang] = float(usual[lang] if len(own) else usual.max()), spread(off)
+
+
 def train(docs: DataFrame, entries: int = ENTRIES, calibration: int = CALIBRATION) -> Model | None:
     """Models of all languages of ``docs(doc_id, text, lang)``; None without a usable row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "langid")
     known = docs.where("lang is not null and text is not null")
-    share = min(0.1, calibration / max(1, known.count()))
+    # Classes of hashes, small ones first, so that a sample of any share is some whole classes.
+    known = known.withColumn("__hash", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) + 1)
+    known = known.withColumn("__class", F.floor(F.log2(F.col("__hash").cast("double")) * 32).cast("int"))
+    classes: dict[str, list] = {}
+    for r in known.groupBy("lang", "__class").count().collect():
+        classes.setdefault(r["lang"], []).append((r["__class"], r["count"]))
+    taken, small = [], []
+    for lang, own in classes.items():
+        total = sum(n for _, n in own)
+        if total < 10 * FEW:
+            small.append((lang,))
+            continue
+        room = min(total // 10, calibration)
+        for number, n in sorted(own):
+            if n <= room:
+                taken.append((lang, number))
+                room -= n
+    picked = F.broadcast(spark.createDataFrame(taken, "lang string, __class int"))
+    few = F.broadcast(spark.createDataFrame(small, "lang string"))
     # The calibration sample is not learned from, so its entropies are those of new texts.
-    picked = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
-    counts = scratch.keep(gram_counts(known.where(~picked)), "counts")
+    counts = scratch.keep(
+        gram_counts(known.join(picked, ["lang", "__class"], "left_anti")), "counts")
     number = counts.count()
     if not number:
         scratch.drop("counts")
@@ -392,14 +457,12 @@ def train(docs: DataFrame, entries: int = ENTRIES, calibration: int = CALIBRATIO
             [batch.column(0), pa.array(entropy[np.arange(len(column)), column]), pa.array(size)],
             ["lang", "entropy", "size"])
 
-    sample = known.where(picked).select("lang", "text")
+    sample = known.join(picked, ["lang", "__class"], "left_semi").select("lang", "text")
     seen = _measured(sample, model, measure, "lang string, entropy double, size long")
-    seen = seen.where("size > 0").toPandas()
-    for lang, rows in seen.groupby("lang"):
-        usual = float(rows["entropy"].median())
-        off = (rows["entropy"] - usual) * _trust(rows["size"])
-        # Three times what one text in a hundred exceeds, one bit at least.
-        model.limits[lang] = (usual, max(1.0, 3 * float(off.quantile(0.99))))
+    crossed = known.join(few, "lang", "left_semi").select("lang", "text").groupBy("lang").applyInArrow(
+        _cross_fitted, "lang string, entropy double, size long")
+    seen = pd.concat([f.where("size > 0").toPandas() for f in (seen, crossed)])
+    _calibrate(model, seen)
     return model
 
 

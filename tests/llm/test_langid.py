@@ -129,3 +129,24 @@ def test_a_model_in_tables_has_the_same_probabilities_and_keeps_a_rare_language(
     assert all(got[2000 + i]["lang_pred"] == "zz" for i in range(9))
     for lang, limit in whole.limits.items():
         assert np.allclose(limit, stored.limits[lang], atol=1e-3)
+
+
+def test_rare_languages_beside_a_hot_one_keep_their_texts(spark):
+    rnd = random.Random(4)
+    rows = [(i, prose(rnd, 4, "abcdefghij"), "aa") for i in range(3000)]
+    rare = {"r1": ("αβγδεζη", 1), "r2": ("бвгдежз", 2), "r5": ("אבגדהוז", 5)}
+    for lang, (letters, n) in rare.items():
+        # The first text says little in many words, the others are like any.
+        rows += [(len(rows) + i, prose(rnd, 8, letters) if i or n == 1 else f"{letters[:3]} " * 60, lang)
+                 for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for seed in range(3):
+        model = langid.train(docs.withColumn("doc_id", docs["doc_id"] + 10_000 * seed))
+        assert model.langs == ["aa", "r1", "r2", "r5"] and model.limits.keys() == set(model.langs)
+        assert all(np.isfinite(x).all() for x in model.limits.values())
+        found = langid.identify(docs.where("lang != 'aa'"), model).collect()
+        assert len(found) == 8 and not any(r["rejected"] for r in found)
+        assert all(r["lang_pred"] == r["lang"] for r in found)
+        foreign = spark.createDataFrame([(1, "qqq xxx yyy zzz www vvv uuu ttt " * 3)],
+                                        "doc_id long, text string")
+        assert langid.identify(foreign, model).where("rejected").count() == 1
