@@ -8,6 +8,11 @@ covered by any other are removed, character for character, with the space that f
 Sentences above ``LONG`` words (lists, text without full stops) are cut further at words that the
 text itself picks, so equal passages are cut alike whatever stands around them.
 
+Passages that start and end inside sentences are met by shingles of ``SHINGLE`` words, wherever sentences
+end.  Of every ``WINDOW`` that follow each other the one of least hash is joined like a run (winnowing), so
+two texts that share SHINGLE + WINDOW - 1 = 51 words share one, and those of a longer passage join up.
+Up to 25 words at either edge of a passage may stay.
+
 Rows of different text under one doc_id are told apart, as a run must be found again before it is
 removed.  Rows that repeat both doc_id and text are alike: what one keeps, all keep.  A null text
 stays null; a row without doc_id stays whole and counts as the first.  Texts of fewer than RUN sentences
@@ -17,6 +22,7 @@ are one run if they have LEAST_WORDS words.  Extra columns pass through ``clean`
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from zlib import crc32
 
 import numpy as np
@@ -32,7 +38,9 @@ RUN = 3
 LEAST_WORDS = 12
 LONG = 24
 PIECE = 8
+SHINGLE = WINDOW = 26
 
+_UNIT = re.compile(r"\S+")
 _END = re.compile(r"[.!?]+[\"')\]»”]*\s+|[。！？]\s*|\s*\n\s*")
 
 
@@ -94,6 +102,44 @@ def digests(norms: list[str], found: list[tuple[int, int]]) -> np.ndarray:
     return np.frombuffer(data, np.int64).reshape(-1, 2)
 
 
+def _powers(base: int) -> list[int]:
+    return [pow(base, i, 1 << 64) for i in range(SHINGLE)]
+
+
+_BASES = [np.array(_powers(b), np.uint64) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+_hashed: dict[str, int] = {}
+
+
+def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the chosen shingles, and two 64-bit numbers for each."""
+    words = _UNIT.findall(text)
+    n = len(words) - SHINGLE + 1
+    if n < WINDOW:
+        return np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
+    if len(_hashed) > 1 << 18:
+        _hashed.clear()
+    for word in set(words):
+        if word not in _hashed:
+            _hashed[word] = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass"))
+    single = np.fromiter(map(_hashed.__getitem__, words), np.uint64, len(words))
+    both = np.zeros((n, 2), np.uint64)
+    for k in range(SHINGLE):
+        for j, powers in enumerate(_BASES):
+            both[:, j] += single[k:k + n] * powers[k]
+    # The low bits of such sums depend on the low bits of the words only.
+    both ^= both >> np.uint64(32)
+    both *= np.uint64(0xD6E8FEB86659FD93)
+    both ^= both >> np.uint64(29)
+    least = np.lib.stride_tricks.sliding_window_view(both[:, 0], WINDOW).argmin(axis=1)
+    places = np.unique(least + np.arange(len(least)))
+    own = both[places]
+    # One that overlaps the first of its kind in the text would cut into it.
+    _, first, kind = np.unique(own[:, 0], return_index=True, return_inverse=True)
+    apart = places - places[first[kind]]
+    keep = (apart == 0) | (apart >= SHINGLE)
+    return places[keep], own[keep].view(np.int64)
+
+
 def _span_rows(batches):
     names = ["h1", "h2", "doc_id", "at", "again"]
     for batch in batches:
@@ -103,14 +149,16 @@ def _span_rows(batches):
                 continue
             _, norms, counts = sentences(text)
             found = runs(norms, counts)
-            if not found:
+            chosen, more = shingles(text)
+            if not found and not len(chosen):
                 continue
-            own = digests(norms, found)
+            own = np.concatenate([digests(norms, found), more])
             first = np.zeros(len(own), bool)
             first[np.unique(own[:, 0], return_index=True)[1]] = True
             hashes.append(own)
             ids += [doc_id] * len(own)
-            places.append(np.array([a for a, _ in found], np.int32))
+            # Shingles count down from -1.
+            places.append(np.r_[np.array([a for a, _ in found], np.int32), (-1 - chosen).astype(np.int32)])
             again.append(~first)
         if not ids:
             continue
@@ -145,7 +193,7 @@ def repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def cut(text: str, removals: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]], int]:
-    """The text without the runs at these places, what was cut as character ranges, sentences cut."""
+    """The text without the runs at these places, what was cut as character ranges, sentences cut into."""
     starts, norms, counts = sentences(text)
     ends = dict(runs(norms, counts))
     wanted = sorted({(a, h) for a, h in removals if a in ends})
@@ -155,18 +203,32 @@ def cut(text: str, removals: list[tuple[int, int]]) -> tuple[str, list[tuple[int
         for (a, h), mine in zip(wanted, own):
             if h == mine:
                 gone[a:ends[a]] = True
-    places = np.flatnonzero(gone)
-    if not len(places):
+    ranges = [(starts[i], starts[i + 1]) for i in np.flatnonzero(gone).tolist()]
+    wanted = {(-1 - a, h) for a, h in removals if a < 0}
+    if wanted:
+        chosen, own = shingles(text)
+        edges = [*(m.start() for m in _UNIT.finditer(text)), len(text)]
+        ranges += [(edges[a], edges[a + SHINGLE]) for a, h in zip(chosen.tolist(), own[:, 0].tolist())
+                   if (a, h) in wanted]
+    if not ranges:
         return text, [], 0
-    breaks = np.flatnonzero(np.diff(places) > 1)
-    firsts, lasts = places[np.r_[0, breaks + 1]], places[np.r_[breaks, len(places) - 1]]
-    ranges = [(starts[a], starts[b + 1]) for a, b in zip(firsts.tolist(), lasts.tolist())]
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = merged[-1][0], max(b, merged[-1][1])
+        else:
+            merged.append((a, b))
+    ranges, firsts = merged, [a for a, _ in merged]
+    touched = 0
+    for a, b in zip(starts, starts[1:]):
+        i = bisect_left(firsts, b) - 1
+        touched += i >= 0 and ranges[i][1] > a
     kept, at = [], 0
     for a, b in ranges:
         kept.append(text[at:a])
         at = b
     kept.append(text[at:])
-    return "".join(kept), ranges, len(places)
+    return "".join(kept), ranges, touched
 
 
 def clean(docs: DataFrame) -> DataFrame:

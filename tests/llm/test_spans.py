@@ -85,3 +85,28 @@ def test_odd_rows(spark):
     assert {r["text"] for r in by[7]} == {"one two", "another text here"}
     assert by[11][0]["text"] == ""
     assert spans.clean(no_documents(spark)).count() == 0
+
+
+def test_any_passage_of_51_words_is_found_wherever_it_is_cut():
+    rnd = random.Random(4)
+    for _ in range(300):
+        passage = prose(rnd, 12).split()
+        at = rnd.randrange(len(passage) - 51)
+        passage = " ".join(passage[at:at + 51])
+        seen = []
+        for _ in range(2):
+            a, b = prose(rnd, 5).split(), prose(rnd, 5).split()
+            a, b = a[:rnd.randint(1, len(a))], b[rnd.randint(0, len(b) - 1):]
+            seen.append(" ".join(a) + " " + passage + " " + " ".join(b))
+        first, second = (spans.shingles(t) for t in seen)
+        common = {tuple(h) for h in first[1].tolist()}
+        removals = [(-1 - a, h[0]) for a, h in zip(second[0].tolist(), second[1].tolist())
+                    if tuple(h) in common]
+        left, ranges, n = spans.cut(seen[1], removals)
+        assert removals and n and sum(len(seen[1][a:b].split()) for a, b in ranges) >= 26
+        assert all(seen[1][a:b].strip() in passage for a, b in ranges)
+
+
+def test_a_text_of_one_word_repeated_keeps_its_first_shingle():
+    places, _ = spans.shingles("so " * 200)
+    assert places[0] == 0 and all(p >= spans.SHINGLE for p in places[1:])
