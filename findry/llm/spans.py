@@ -11,7 +11,7 @@ text itself picks, so equal passages are cut alike whatever stands around them.
 Passages that start and end inside sentences are met by shingles of ``SHINGLE`` words, wherever sentences
 end.  Of every ``WINDOW`` that follow each other the one of least hash is joined like a run (winnowing), so
 two texts that share SHINGLE + WINDOW - 1 = 51 words share one, and those of a longer passage join up.
-Up to 25 words at either edge of a passage may stay.
+Up to 25 words at either edge of a passage may stay.  Chinese and Japanese characters count as words there.
 
 Rows of different text under one doc_id are told apart, as a run must be found again before it is
 removed.  Rows that repeat both doc_id and text are alike: what one keeps, all keep.  A null text
@@ -40,7 +40,11 @@ LONG = 24
 PIECE = 8
 SHINGLE = WINDOW = 26
 
-_UNIT = re.compile(r"\S+")
+# Chinese and Japanese characters, which no spaces divide: each is a unit of shingles, and two count as
+# a word in runs.
+_ALONE = "\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_CHARACTER = re.compile(f"[{_ALONE}]")
+_UNIT = re.compile(f"[{_ALONE}]|[^\\s{_ALONE}]+")
 _END = re.compile(r"[.!?]+[\"')\]»”]*\s+|[。！？]\s*|\s*\n\s*")
 
 
@@ -80,6 +84,7 @@ def sentences(text: str) -> tuple[list[int], list[str], list[int]]:
 def runs(norms: list[str], counts: list[int]) -> list[tuple[int, int]]:
     """(first, one past the last) sentence of every run."""
     n = len(norms)
+    counts = [c if t.isascii() else max(c, len(_CHARACTER.findall(t)) // 2) for t, c in zip(norms, counts)]
     if 0 < n < RUN:
         return [(0, n)] if sum(counts) >= LEAST_WORDS else []
     out, total = [], np.r_[0, np.cumsum(counts)].tolist()

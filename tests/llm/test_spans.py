@@ -110,3 +110,23 @@ def test_any_passage_of_51_words_is_found_wherever_it_is_cut():
 def test_a_text_of_one_word_repeated_keeps_its_first_shingle():
     places, _ = spans.shingles("so " * 200)
     assert places[0] == 0 and all(p >= spans.SHINGLE for p in places[1:])
+
+
+def test_repeated_text_without_spaces_is_cut(spark):
+    rnd = random.Random(5)
+    def sentence(n):
+        return "".join(chr(rnd.randrange(0x4E00, 0x9FA0)) for _ in range(n)) + "。"
+
+    short = sentence(14) + sentence(15)
+    passage = "".join(sentence(12) for _ in range(5))
+    unended = "".join(sentence(60)[:-1] for _ in range(2))
+    rows = [(1, short), (2, short), (3, sentence(20) + passage + sentence(20)),
+            (4, sentence(30) + passage + sentence(9)), (5, sentence(8)[:-1] + unended + sentence(7)),
+            (6, sentence(11)[:-1] + unended + sentence(12)), (7, sentence(9)), (8, "你好。")]
+    rows += [(9, "你好。")]
+    got = {r["doc_id"]: r["text"] for r in spans.clean(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    old = dict(rows)
+    assert got[2] == "" and got[4] == old[4].replace(passage, "")
+    assert all(got[i] == old[i] for i in (1, 3, 5, 7, 8, 9))
+    assert len(old[6]) - len(got[6]) >= 120 - 2 * 25 and got[6][:11] == old[6][:11]
