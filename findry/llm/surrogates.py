@@ -44,7 +44,6 @@ _PHONE = re.compile(
     r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)"
     r"|\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
     r"|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]|\.\d)")
-_LOCAL = re.compile(r"[\w.+%-]+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w])")
 _SECRET = re.compile(
     r"(?i:token|secret|password|api[_-]?key)[\"']?\s*[=:]\s*[\"']?([A-Za-z0-9_/+-]{12,})")
@@ -93,12 +92,17 @@ def _luhn(digits: str) -> int:
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, canonical)`` of all entities, in order and without overlap."""
     found = []
-    at = text.find("@")
+    at, past = text.find("@"), 0
     while at >= 0:
-        local = _LOCAL.search(text, max(0, at - 64), at)
         domain = _DOMAIN.match(text, at + 1)
-        if local and domain:
-            start = local.start() + len(local[0]) - len(local[0].lstrip(".+%-"))
+        # Back to what can't belong to a local part, or to the '@' before; so each is read once.
+        start = at
+        while domain and start > past and (text[start - 1].isalnum() or text[start - 1] in "_.+%-"):
+            start -= 1
+        past = at + 1
+        if domain:
+            while start < at and text[start] in ".+%-":
+                start += 1
             if start < at:
                 found.append((start, domain.end(), "email", text[start:domain.end()].lower()))
         at = text.find("@", at + 1)

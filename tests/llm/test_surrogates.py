@@ -94,3 +94,10 @@ def test_odd_rows(spark):
     assert before == after  # nothing personal in them
     assert sum(r["text"] is None for r in done.collect()) == 2
     assert surrogates.pseudonymise(no_documents(spark)).count() == 0
+
+
+def test_the_whole_of_a_long_local_part_is_replaced():
+    a, b = ("abcdefghij" * 7 + c + "x" * 64 + "@example.org" for c in "pq")
+    found = surrogates.find(f"to ..{a}, {b} c@d@example.com")
+    assert [f[3] for f in found] == [a, b, "d@example.com"]
+    assert surrogates.surrogate("email", a) != surrogates.surrogate("email", b)
