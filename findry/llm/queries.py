@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from findry.llm import additive, bpe, graphdedup, langid, packing, rules, shards, simhash, spans, surrogates
+from findry.llm import (additive, alignment, bpe, graphdedup, langid, packing, rules, shards, simhash, spans,
+                        surrogates)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +90,9 @@ def op10_training_order_shards(spark, folder):
     written = shards.materialise(table(spark, folder, "documents"))
     return written.read().select("slot", "shard", "row", "doc_id", "start", "n_tokens",
                                  F.crc32("ids").alias("ids_crc32"), "valid")
+
+
+@query
+def op11_cross_tokenizer_alignment(spark, folder):
+    found = alignment.summarise(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

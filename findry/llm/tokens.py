@@ -7,6 +7,7 @@ compare the two, special tokens in a text included.
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -14,6 +15,10 @@ import numpy as np
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 END_OF_TEXT = "<|endoftext|>"
 SEPARATOR = 1
+# The characters the tokenizer's pattern takes as white space (Unicode White_Space).
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The pattern gives up on runs of about a million; runs this long are cut out before it sees them.
+_LONG_RUN = re.compile(f"[{WHITE}]{{10000,}}")
 
 
 def public_path(name: str) -> str:
@@ -34,13 +39,38 @@ class ByteEncoder:
         self.core = tiktoken.Encoding(
             "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
             special_tokens={END_OF_TEXT: len(ranks)})
+        self.end = np.array([len(ranks)], np.uint32)
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text as 32-bit numbers; null counts as empty."""
         if not text:
             return np.zeros(0, np.uint32)
-        special = {END_OF_TEXT} if END_OF_TEXT in text else set()
-        return self.core.encode_to_numpy(text, allowed_special=special, disallowed_special=())
+        if END_OF_TEXT not in text:
+            return self.encode_plain(text)
+        parts = []
+        for part in text.split(END_OF_TEXT):
+            parts += [self.end, self.encode_plain(part)]
+        return np.concatenate(parts[1:])
+
+    def encode_plain(self, text: str) -> np.ndarray:
+        """As :meth:`encode`, with special strings as plain text.
+
+        A long run of white space is one word to the pattern, but for its last character if other text
+        follows; so it can be cut out and encoded by itself.
+        """
+        run = _LONG_RUN.search(text) if len(text) >= 10_000 else None
+        if run is None:
+            return self.core.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
+        parts, at = [], 0
+        while run:
+            start, stop = run.span()
+            stop -= stop < len(text)
+            parts += [self.core.encode_to_numpy(text[at:start], disallowed_special=()),
+                      np.array(self.core._encode_single_piece(text[start:stop]), np.uint32)]
+            at = stop
+            run = _LONG_RUN.search(text, stop + 1)
+        parts.append(self.core.encode_to_numpy(text[at:], disallowed_special=()))
+        return np.concatenate(parts)
 
 
 @lru_cache(2)
