@@ -6,9 +6,9 @@ Three plans give the same rows; which one runs depends on measured sizes.
   place; each task keeps ``k`` rows per query and only those are shuffled.
 * **Table travels.**  The scanned table fits a broadcast (a set of centroids, a small
   corpus) and the queries do not.  Queries are answered where they lie.
-* **Blocks meet.**  Neither fits.  Both sides are cut into bounded blocks by a hash of
-  their key, every pair of blocks that may hold matches meets in one task, and each
-  pair passes on ``k`` rows per query.
+* **Files travel.**  Neither fits.  The queries are written as files of bounded size.  The table
+  is scanned once, in place; each task streams the files over a bounded part of its rows and
+  passes on ``k`` rows per query and part (see :mod:`findry.sources.chunks`).
 
 The merge of partial results runs in two steps so that no task sees one row from
 every task of the scan.
@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from findry.functions import kernels
+from findry.sources.chunks import cut_into_chunks
 
 # Most bytes of one side that may be broadcast, and rows fetched before measuring.
 BROADCAST_BYTES = 64 << 20
 FIRST_LOOK_ROWS = 4096
-# Size of one side of a block pair.
+# Size of one side of a block pair: of the rows a task holds and of a file of queries.
 BLOCK_BYTES = 64 << 20
 # Result rows that may be broadcast to look up their documents.
 BROADCAST_ROWS = 500_000
@@ -157,7 +158,7 @@ def nearest_rows(corpus: DataFrame, queries: DataFrame, k: int, metric: str,
         if rows.local is not None:
             partials = _table_travels(rows, queries, k, metric, probed)
         else:
-            partials = _blocks_meet(rows, side, k, metric, probed, block_bytes)
+            partials = _in_place(corpus, side, queries, k, metric, probed, block_bytes)
     return best_per_query(partials, k), side.rows * k
 
 
@@ -280,34 +281,40 @@ def meet(queries: DataFrame, table: DataFrame, pair: list[str], start: Callable,
     return (queries.groupBy(*pair).cogroup(table.groupBy(*pair)).applyInArrow(score, schema))
 
 
-def _blocks_meet(rows: Side, side: Side, k, metric, probed, block_bytes) -> DataFrame:
-    """Cut both sides into blocks and score every pair of blocks that share a cluster."""
-    per_block = max(1, block_bytes // (8 * max(1, rows.dim)))
-    corpus, queries = [f.filter(searchable()) for f in (rows.frame, side.frame)]
-    dim = rows.dim
-    if probed:
-        queries = queries.withColumn("cluster", F.explode("clusters")).drop("clusters")
-        # How many blocks each list needs: one row per list.
-        sizes = (corpus.groupBy("cluster").agg(F.count("*").alias("n"))
-                 .join(queries.groupBy("cluster").agg(F.count("*").alias("m")), "cluster")
-                 .select("cluster", F.ceil(F.col("n") / per_block).alias("row_blocks"),
-                         F.ceil(F.col("m") / per_block).alias("query_blocks")))
-        sizes = broadcast_if_small(sizes)
-        corpus, queries = corpus.join(sizes, "cluster"), queries.join(sizes, "cluster")
-        counts = F.col("row_blocks"), F.col("query_blocks")
-        pair = ["cluster", "row_block", "query_block"]
-    else:
-        counts = [-(-max(1, n) // per_block) for n in (rows.rows, side.rows)]
-        pair = ["row_block", "query_block"]
-    corpus = into_blocks(corpus, "id", counts[0], counts[1], "row_block", "query_block")
-    queries = into_blocks(queries, "query_id", counts[1], counts[0], "query_block", "row_block")
+def _in_place(corpus: DataFrame, side: Side, queries: DataFrame, k, metric, probed, block_bytes) -> DataFrame:
+    """The queries are written as files which the tasks of the scan read; the corpus is not moved.
 
-    def start(block):
-        return kernels.NearestVectors(kernels.to_matrix(block.column("wanted"), dim), k, metric)
+    A query that probes several lists stands in the files once for each, so that a task opens the files of
+    its own lists only.
+    """
+    per_chunk = max(1, block_bytes // (8 * max(1, side.dim) + 32))
+    queries = queries.filter(searchable())
+    rows = side.rows
+    if probed:
+        queries = queries.select("query_id", "embedding", F.explode("clusters").alias("cluster"))
+        rows = queries.count()
+        # One row for each list.
+        lists = queries.select("cluster").distinct()
+        corpus = corpus.join(broadcast_if_small(lists), "cluster", "left_semi")
+    written = cut_into_chunks(queries, rows, per_chunk, *(["cluster", "query_id"] if probed else []))
+
+    def start(held):
+        part = TaskContext.get().partitionId()
+        matrix, ids = kernels.to_matrix(held.column("embedding")), kernels.one_array(held.column("id"))
+        groups = held.column("cluster").to_numpy() if probed else None
+
+        def score(chunk):
+            members = None
+            if probed:
+                asked = chunk.column("cluster").to_numpy()
+                members = {int(c): np.flatnonzero(asked == c) for c in np.unique(asked)}
+            best = kernels.NearestVectors(
+                kernels.to_matrix(chunk.column("embedding"), matrix.shape[1]), k, metric, members)
+            best.add(matrix, ids, groups)
+            return _partial_batch(best, kernels.one_array(chunk.column("query_id")), part)
 
-    def add(best, block):
-        best.add(kernels.to_matrix(block.column("stored"), dim), kernels.one_array(block.column("id")))
+        return score
 
-    # Fresh names keep the two sides apart when both come from one table.
-    return meet(queries.select(*pair, "query_id", F.col("embedding").alias("wanted")),
-                corpus.select(*pair, "id", F.col("embedding").alias("stored")), pair, start, add)
+    columns = ["id", "embedding"] + (["cluster"] if probed else [])
+    schema = _partial_schema(queries.schema["query_id"].dataType, corpus.schema["id"].dataType)
+    return written.scan(corpus.select(*columns), "embedding", start, schema, block_bytes)

@@ -77,10 +77,10 @@ def collected(frame):
 
 
 @pytest.mark.parametrize("metric", ["cosine", "dot", "euclidean"])
-@pytest.mark.parametrize("plan", ["queries travel", "table travels", "blocks meet"])
+@pytest.mark.parametrize("plan", ["queries travel", "table travels", "files travel"])
 def test_every_plan_equals_brute_force(hard, metric, plan, monkeypatch):
     rows, queries, corpus, wanted = hard
-    budget = {"queries travel": 1 << 20, "table travels": 0, "blocks meet": 0}[plan]
+    budget = {"queries travel": 1 << 20, "table travels": 0, "files travel": 0}[plan]
     if plan == "table travels":
         real = topk.measure
         monkeypatch.setattr(topk, "measure", lambda f, w, budget=0, per_row=0: real(
