@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from findry.llm import (additive, alignment, bpe, graphdedup, langid, packing, rules, shards, simhash, spans,
-                        surrogates)
+from findry.llm import (additive, alignment, bpe, graphdedup, langid, negatives, packing, rules, shards, simhash,
+                        spans, surrogates, toxicity)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,41 @@ def op10_training_order_shards(spark, folder):
 def op11_cross_tokenizer_alignment(spark, folder):
     found = alignment.summarise(table(spark, folder, "documents"))
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op12_hard_negatives(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0).select(
+        "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id",
+        "positive_score", "negative_score")
+
+
+# Vectors hold the same numbers in 64-bit integers; lists are no longer than a table's vectors.
+ORACLES["op12_hard_negatives"] = """
+WITH rows_ AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256e0 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+anchors AS (SELECT * FROM rows_ WHERE vec_id % 100 = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id, r.label,
+    CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM anchors a, rows_ r WHERE r.vec_id <> a.vec_id AND len(a.v) = len(r.v)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) <= 10"""
+
+
+@query
+def op13_toxicity(spark, folder):
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
