@@ -171,11 +171,10 @@ class Collection:
     def get_by_ids(self, ids) -> DataFrame:
         rows = self.rows()
         if not isinstance(ids, DataFrame):
-            ids = list(ids)
-            # A short list reaches the scan, which then skips files by their id filters.
-            rows = rows.filter(F.col("id").isin(ids)) if len(ids) <= 1000 else rows
-            ids = ops.request(self.spark, ids, rows.schema["id"].dataType)
-        return ops.get_by_ids(rows, ids)
+            ids = ops.request(self.spark, list(ids), rows.schema["id"].dataType)
+        # The directory names the files to read.
+        held = storage.read_rows(self.spark, self.folder(), ids.select("id").distinct())
+        return ops.get_by_ids(rows if held is None else held, ids)
 
     def _asked(self, queries) -> DataFrame:
         if isinstance(queries, DataFrame):

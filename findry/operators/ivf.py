@@ -251,3 +251,34 @@ def scan_fraction(rows: DataFrame, probes: DataFrame) -> DataFrame:
         .groupBy("query_id").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("scanned")))
     return per_query.withColumn("total", total.scalar()).withColumn(
         "fraction", F.col("scanned") / F.col("total"))
+
+
+def recall_curve(index: Index, queries: DataFrame, k: int = 10, metric: str = "cosine",
+                 most: int = 64) -> DataFrame:
+    """``nprobe, recall``: the share of the exact ``k`` nearest rows found by probing so many lists.
+
+    One exact search tells it for all numbers of probes up to ``most``: a row is found as soon as its list is.
+    """
+    from findry.operators.search import knn_join
+
+    queries = queries.select("query_id", "embedding")
+    exact = knn_join(index.rows, queries, k, metric, columns=["cluster"])
+    order = (probe(queries, index.centroids, most)
+             .select("query_id", F.posexplode("clusters").alias("place", "cluster")))
+    found = exact.join(order, ["query_id", "cluster"], "left").groupBy("place").agg(F.count("*").alias("n"))
+    # One row for each number of probes.
+    places = found.collect()
+    total, at = sum(r["n"] for r in places), 0
+    by_place = {r["place"]: r["n"] for r in places}
+    rows = []
+    for nprobe in range(1, most + 1):
+        at += by_place.get(nprobe - 1, 0)
+        rows.append((nprobe, at / total if total else 1.0))
+    return queries.sparkSession.createDataFrame(rows, "nprobe int, recall double")
+
+
+def calibrate(index: Index, queries: DataFrame, target: float = 0.9, k: int = 10, metric: str = "cosine",
+              most: int = 64) -> int | None:
+    """The fewest probes whose recall over ``queries`` reaches ``target``; None if ``most`` do not."""
+    enough = recall_curve(index, queries, k, metric, most).where(F.col("recall") >= target)
+    return enough.agg(F.min("nprobe")).first()[0]

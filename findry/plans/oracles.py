@@ -63,6 +63,8 @@ def six(column: str, name: str | None = None) -> str:
     return f"round({column}, 6) + 0e0 AS {name or column}"
 
 
+METRICS = ("cosine", "dot", "euclidean")
+TWENTIETH = "asked AS (SELECT id AS query_id, e FROM vec WHERE id % 20 = 0)"
 LABEL_QUERIES = "asked AS (SELECT label AS query_id, e FROM means)"
 TEXT_QUERIES = (bags("asked_bags", "benchmark", "item_id")
                 + ",\nasked AS (SELECT id AS query_id, e FROM asked_bags)")
@@ -298,6 +300,12 @@ SELECT id, {six('d', 'distance')}, {six('1e0 - d', 'score')} FROM (
   SELECT id, {distance('cosine', 'vec.e', 'asked.e')} AS d FROM vec, asked)
 ORDER BY d, id LIMIT 10""",
     "knn_join": label_search(10),
+    "knn_in_place": f"WITH {VECTORS}, {TWENTIETH}" + "".join(
+        f", {nearest(m, 'vec', 'asked', 10, m)}" for m in METRICS) + " UNION ALL ".join(
+        f" SELECT '{m}' AS metric, query_id, id, rank, {six('distance')} FROM {m}" for m in METRICS),
+    "ivf_calibrated": f"""
+WITH {VECTORS}, {TWENTIETH}, {nearest('near', 'vec', 'asked', 10)}
+SELECT query_id, id, rank, {six('distance')} FROM near""",
     "knn_dirty": dirty(),
     "knn_score": label_search(5, "dot", "1e0 - distance", "score"),
     "knn_filtered": label_search(5, "euclidean", where="c.label >= 3 AND c.label < 7"),
@@ -336,6 +344,20 @@ SELECT id, CAST(length(b.text) AS INTEGER) AS n_content, d.lang, role AS source,
 FROM batch b LEFT JOIN documents d ON d.doc_id = id UNION ALL
 SELECT doc_id, CAST(length(text) AS INTEGER), lang, source, n_chars FROM documents
 WHERE doc_id NOT IN (SELECT id FROM batch)""",
+    "stored_changes": """
+WITH batch AS (
+  SELECT doc_id AS id, 'new text of ' || doc_id AS content FROM labels
+  WHERE toxic = 1 OR doc_id % 3 = 0),
+kept AS (
+  SELECT doc_id AS id, text AS content FROM documents
+  WHERE doc_id NOT IN (SELECT id FROM batch)
+    AND doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)
+    AND NOT coalesce(n_chars >= 300 AND lang = 'fr', false))
+SELECT id, CAST(length(content) AS INTEGER) AS n_content, md5(content) AS digest
+FROM (SELECT * FROM batch UNION ALL SELECT * FROM kept)""",
+    "stored_out_of_order": """
+SELECT conv_id AS id, text AS content, '{"role":"' || role || '"}' AS metadata FROM conversations
+QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1""",
     "rrf_fuse": f"""
 WITH {BAG_SEARCH}, {nearest('a', 'bag', 'asked', 10)}, {nearest('b', 'bag', 'asked', 10, 'euclidean')},
 {fuse('fused', 'a', 'b', 6, 0.7)} SELECT query_id, id, rank, {six('score')} FROM fused""",

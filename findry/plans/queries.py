@@ -19,7 +19,7 @@ from findry.functions import filters
 from findry.functions.embed import HashedWords, embed, hashed_word_counts
 from findry.functions.text import tokens
 from findry.operators import corpus as ops
-from findry.operators import hybrid, ivf, keyword, mmr, search
+from findry.operators import hybrid, ivf, keyword, mmr, search, topk
 from findry.operators.context import assemble_context
 from findry.operators.topk import broadcast_if_small
 from findry.schema import Columns, corpus_from_columns
@@ -402,6 +402,36 @@ def upsert_columns(spark, folder):
         F.get_json_object("metadata", "$.n_chars").cast("long").alias("n_chars"))
 
 
+@query
+def stored_changes(spark, folder):
+    """A stored corpus through deletions by id and by filter, replaced rows and rows that come back."""
+    path = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    empty = F.array().cast("array<float>").alias("embedding")
+    storage.write_rows(read(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), F.col("text").alias("content"), metadata_column().alias("metadata"),
+        empty), path)
+    labels = read(spark, folder, "labels")
+    storage.delete_rows(spark, path, labels.where("quality = 0").select(F.col("doc_id").alias("id")))
+    storage.upsert_rows(spark, path, labels.where("toxic = 1 or doc_id % 3 = 0").select(
+        F.col("doc_id").alias("id"), F.format_string("new text of %d", "doc_id").alias("content"),
+        F.lit('{"lang": "xx"}').alias("metadata"), empty))
+    storage.delete_matching(spark, path, {"lang": "fr"})
+    return storage.read_rows(spark, path).select(
+        "id", F.length("content").alias("n_content"), F.md5("content").alias("digest"))
+
+
+@query
+def stored_out_of_order(spark, folder):
+    """The turns of every conversation in three batches, the last turns first: the last turn stays."""
+    path = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    turns = read(spark, folder, "conversations").select(
+        F.col("conv_id").alias("id"), F.col("text").alias("content"),
+        F.to_json(F.struct("role")).alias("metadata"), F.array().cast("array<float>").alias("embedding"), "turn")
+    for part in (2, 0, 1):
+        storage.upsert_rows(spark, path, turns.where(F.col("turn") % 3 == part), "turn")
+    return storage.read_rows(spark, path).select("id", "content", "metadata")
+
+
 @query
 def rrf_fuse(spark, folder):
     """Nearest by cosine fused with nearest by euclidean distance."""
@@ -483,6 +513,31 @@ def vector_queries(spark, folder) -> DataFrame:
     return vectors(spark, folder).select(F.col("id").alias("query_id"), "embedding")
 
 
+def twentieth(spark, folder) -> DataFrame:
+    return vector_queries(spark, folder).where("query_id % 20 = 0")
+
+
+@query
+def knn_in_place(spark, folder):
+    """Every vector whose id is divisible by 20 against all, by all metrics, from files of queries."""
+    rows, parts = vectors(spark, folder).select("id", "embedding"), []
+    for metric in ("cosine", "dot", "euclidean"):
+        found, _ = topk.nearest_rows(rows, twentieth(spark, folder), 10, metric, budget=0)
+        parts.append(found.withColumn("metric", F.lit(metric)))
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rounded(every.select("metric", "query_id", "id", "rank", "distance"), "distance")
+
+
+@query
+def ivf_calibrated(spark, folder):
+    """A trained index probed as far as its recall curve asks for: all that exact search finds."""
+    index = ivf.build_index(vectors(spark, folder).select("id", "embedding"), n_lists=16)
+    asked = twentieth(spark, folder)
+    nprobe = ivf.calibrate(index, asked, 1.0, 10, most=16)
+    found = search.knn_join(index.rows, asked, 10, centroids=index.centroids, nprobe=nprobe)
+    return rounded(found.select("query_id", "id", "rank", "distance"), "distance")
+
+
 @query
 def ivf_probe(spark, folder):
     probed = ivf.probe(vector_queries(spark, folder), label_centroids(spark, folder), 3)

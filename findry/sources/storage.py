@@ -1,12 +1,14 @@
 """Corpora, indexes and postings as Parquet folders.
 
-A corpus folder holds ``rows/cluster=<n>/``, ``removed/`` (ids), ``changes/`` and, once an index is
-built, ``centroids/``; with a full-text index also ``postings/``, written by the same changes.  Rows no list has been chosen for lie in list ``-1``, which no search probes.
-
-Nothing is ever overwritten.  A change appends its new rows and the ids it replaces or deletes,
-each marked with a name of its own, and last of all a line in ``changes`` that gives the name its
-place in the order.  Readers take marked rows of committed changes only, without those a later
-change has removed; what a failed writer left behind is never seen, and running it again is safe.
+A corpus folder holds ``rows/__change=<name>/cluster=<n>/``, ``ids/`` and ``erased/`` (see
+:mod:`findry.sources.directory`), ``changes/`` and, once an index is built, ``centroids/``; with a full-text index
+also ``postings/`` and ``removed/`` (the ids taken out of them), written by the same changes.  Rows no list has been
+chosen for lie in list ``-1``, which no search probes.
+
+Nothing is ever overwritten.  A change appends its new rows, where their ids lie and the places of the rows it replaces
+or deletes, each marked with a name of its own, and last of all a line in ``changes`` that gives the name its
+place in the order.  Readers take the rows of committed changes only, without places a committed change
+has erased; what a failed writer left behind is never seen, and running it again is safe.
 One writer at a time.  :func:`compact` writes a corpus anew once removals have piled up.
 """
 
@@ -24,13 +26,12 @@ from findry.operators import ivf
 from findry.operators.ivf import Index
 from findry.operators.topk import BROADCAST_ROWS, broadcast_if_small
 from findry.schema import Columns, corpus_from_columns, corpus_schema
+from findry.sources import directory
+from findry.sources.directory import AT, CHANGE, FILE, ORDER
 from findry.sources.lineage import fixed
 
 UNASSIGNED = -1
-CHANGE = "__change"
 CHANGE_SCHEMA = f"seq long, {CHANGE} string"
-# Ids that are looked for as literals, so that files without them are skipped.
-LITERAL_IDS = 1000
 ROWS_PER_FILE = 100_000
 
 
@@ -55,7 +56,8 @@ def _read(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
         reader = spark.read if schema is None else spark.read.schema(schema)
         return reader.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        # A table that was written without rows has no files.
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
@@ -77,14 +79,48 @@ def _commit(spark: SparkSession, path: str, change: str) -> None:
      .write.mode("append").parquet(f"{path}/changes"))
 
 
-def read_rows(spark: SparkSession, path: str) -> DataFrame | None:
-    """The rows of a corpus folder, or None if nothing was written yet."""
-    return _live(spark, path, "rows", _changes(spark, path))
+def read_rows(spark: SparkSession, path: str, ids: DataFrame | None = None) -> DataFrame | None:
+    """The rows of a corpus folder, or None if nothing was written yet.
+
+    With ``ids``, a table of distinct ids, the rows of these only: the directory names the files that hold them.
+    """
+    changes = _changes(spark, path)
+    rows = _placed(spark, path, changes)
+    if rows is None:
+        return None
+    if ids is not None:
+        found = directory.locate(spark, path, ids, changes, rows.schema["id"].dataType)
+        files = [r[0] for r in found.select(FILE).distinct().limit(directory.NAMED_FILES + 1).collect()]
+        if len(files) <= directory.NAMED_FILES:
+            rows = _placed(spark, path, changes, files)
+        rows = rows.join(broadcast_if_small(found.select(FILE, AT)), [FILE, AT], "left_semi")
+    return rows.drop(FILE, AT)
+
+
+def _placed(spark: SparkSession, path: str, changes: dict[str, int],
+            files: list[str] | None = None) -> DataFrame | None:
+    """The live rows with the place of each; of some files only if these are named."""
+    rows = _read(spark, f"{path}/rows") if changes else None
+    if rows is None:
+        return None
+    names = [c for c in rows.columns if c != CHANGE]
+    erased = _read(spark, f"{path}/erased", directory.ERASED)
+    if erased is not None:
+        erased = erased.filter(F.col(CHANGE).isin(sorted(changes)))
+    if files is not None:
+        if files:
+            rows = directory.read_files(spark, path, files).select(*rows.columns)
+            erased = None if erased is None else erased.where(F.col(FILE).isin(files))
+        else:
+            rows = rows.limit(0)
+            return rows.select(*names, F.lit("").alias(FILE), F.lit(0).cast("long").alias(AT))
+    rows = rows.filter(F.col(CHANGE).isin(sorted(changes)))
+    return directory.without_erased(spark, path, rows, erased, changes).select(*names, FILE, AT)
 
 
-def _live(spark: SparkSession, path: str, part: str, changes: dict[str, int]) -> DataFrame | None:
-    """The rows (or postings) that committed changes wrote and no later one removed."""
-    rows = _read(spark, f"{path}/{part}") if changes else None
+def _live_postings(spark: SparkSession, path: str, changes: dict[str, int]) -> DataFrame | None:
+    """The postings that committed changes wrote and no later one removed."""
+    rows = _read(spark, f"{path}/postings") if changes else None
     if rows is None:
         return None
     names = [c for c in rows.columns if c != CHANGE]
@@ -129,10 +165,10 @@ def read_index(spark: SparkSession, path: str, nprobe: int = ivf.DEFAULT_NPROBE)
 
 
 def _save(rows: DataFrame, path: str, rows_per_file: int, change: str,
-          shares: DataFrame | None = None) -> None:
+          shares: DataFrame | None = None) -> int:
     """Append the rows of a change by list, a large list over as many tasks and files as it needs.
 
-    ``shares`` of the lists only shape files, never which rows are written; without them
+    Returns the number of rows.  ``shares`` of the lists only shape files, never which rows are written; without them
     the lists are counted.
     """
     total = rows.count()
@@ -145,12 +181,13 @@ def _save(rows: DataFrame, path: str, rows_per_file: int, change: str,
      .repartition(max(1, -(-total // rows_per_file)), "cluster", "__slot")
      .drop("__slots", "__slot").withColumn(CHANGE, F.lit(change))
      .sortWithinPartitions("cluster", "id")
-     .write.partitionBy("cluster").mode("append")
+     .write.partitionBy(CHANGE, "cluster").mode("append")
      .option("maxRecordsPerFile", rows_per_file)
      # Lets a look-up by id skip the files that lack it.
      .option("parquet.bloom.filter.enabled#id", "true")
      .option("parquet.bloom.filter.expected.ndv#id", max(1, min(rows_per_file, total)))
      .parquet(f"{path}/rows"))
+    return total
 
 
 def _standard(rows: DataFrame) -> DataFrame:
@@ -162,11 +199,19 @@ def _standard(rows: DataFrame) -> DataFrame:
     return rows.select(*first, *others, "cluster")
 
 
+def _name() -> str:
+    """A change's name, which no reader of a folder name takes for a number."""
+    return f"c{uuid.uuid4().hex}"
+
+
 def _write_new(spark, rows, path, rows_per_file, shares=None) -> None:
     if _changes(spark, path):
         raise ValueError(f"{path} holds a corpus already")
-    change = uuid.uuid4().hex
-    _save(_standard(rows), path, rows_per_file, change, shares)
+    change = _name()
+    total = _save(_standard(rows), path, rows_per_file, change, shares)
+    directory.create(spark, path, total)
+    if total:
+        directory.enter(spark, path, change)
     _commit(spark, path, change)
 
 
@@ -192,68 +237,85 @@ def compact(spark: SparkSession, path: str, target: str,
         ensure_fulltext(spark, target)
 
 
-def _held(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows with one of some distinct ids; few ids reach the scan as literals."""
-    few = ids.limit(LITERAL_IDS + 1).collect()
-    if len(few) <= LITERAL_IDS:
-        return rows.filter(F.col("id").isin([r["id"] for r in few if r["id"] is not None]))
-    return rows.join(broadcast_if_small(ids), "id", "left_semi")
-
-
 def upsert_rows(spark: SparkSession, path: str, batch: DataFrame,
                 order_by: str | None = None) -> None:
     """Insert rows into a corpus folder or replace those with the same id.
 
     Rows are assigned to their nearest list if the folder has an index.  Only the batch is written,
-    and the ids of the rows it replaces.  Stored columns that the batch lacks keep the replaced
-    row's values; columns that are not stored are refused.  Repeating a batch changes nothing.  The
-    order column itself is not stored.
+    and the places of the rows it replaces, which the directory of ids gives.  Stored columns that the batch lacks
+    keep the replaced row's values; columns that are not stored are refused.  Repeating a batch changes nothing.
+
+    With ``order_by`` the row of the highest value wins, in the batch and across batches, whichever comes first;
+    a row without a value loses to any with one.  The value is kept in the directory and not in the rows.
     """
     new = ops.latest(batch, order_by)
     if order_by is not None:
-        new = new.drop(order_by)
+        value = directory.order_value(F.col(order_by), batch.schema[order_by].dataType)
+        new = new.withColumn(ORDER, value).drop(order_by)
     rows = read_rows(spark, path)
     if rows is not None:
-        unknown = sorted(set(new.columns) - set(rows.columns) - {"cluster"})
+        unknown = sorted(set(new.columns) - set(rows.columns) - {"cluster", ORDER})
         if unknown:
             raise ValueError(f"the corpus has no columns {', '.join(unknown)}")
+        held = [c for c in rows.columns if c not in new.columns and c != "cluster"]
+        id_type = rows.schema["id"].dataType
+        new = new.withColumn("id", F.col("id").cast(id_type))
     # Fixed before the corpus changes, so that every step sees the same rows.
     with fixed(new) as new:
+        old = new.select("id").limit(0)
         if rows is not None:
-            held = [c for c in rows.columns if c not in new.columns and c != "cluster"]
-            old = _held(rows, new.select("id")).select("id", *held)
-        with fixed(old if rows is not None else new.select("id").limit(0)) as old:
+            old = directory.locate(spark, path, new.select("id"), _changes(spark, path), id_type)
+        with fixed(old) as old:
+            if rows is not None and order_by is not None:
+                last = old.groupBy("id").agg(F.max(ORDER).alias("__last"))
+                new = new.join(last, "id", "left").where(
+                    F.col("__last").isNull() | (F.col(ORDER) >= F.col("__last"))).drop("__last")
+                old = old.join(new.select("id"), "id", "left_semi")
+            orders = new.select("id", ORDER) if order_by is not None else None
             if rows is not None and held:
-                new = new.join(old, "id", "left")
-            centroids = read_centroids(spark, path)
-            if centroids is not None:
-                new = ivf.assign(new, centroids)
-            new = _standard(new)
-            if rows is not None:
-                # Types follow the stored rows; vectors may be kept as floats to halve the table.
-                new = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                                   for f in rows.schema.fields])
-            change = uuid.uuid4().hex
-            _remove(old, path, change)
-            _save(new, path, ROWS_PER_FILE, change)
-            if has_fulltext(spark, path):
-                _save_postings(new, path, change)
-            _commit(spark, path, change)
+                kept = read_rows(spark, path, old.select("id").distinct()).select("id", *held)
+                new = new.join(kept, "id", "left")
+            new = new.drop(ORDER)
+            # Fixed as well: a list may depend on what this change erases.
+            with fixed(new) as new:
+                centroids = read_centroids(spark, path)
+                if centroids is not None:
+                    new = ivf.assign(new, centroids)
+                new = _standard(new)
+                if rows is not None:
+                    # Types follow the stored rows; vectors may be kept as floats to halve the table.
+                    new = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                                       for f in rows.schema.fields])
+                change = _name()
+                _remove(old, path, change)
+                total = _save(new, path, ROWS_PER_FILE, change)
+                if rows is None:
+                    directory.create(spark, path, total)
+                if total:
+                    directory.enter(spark, path, change, orders)
+                if has_fulltext(spark, path):
+                    _save_postings(new, path, change)
+                _commit(spark, path, change)
 
 
 def _remove(old: DataFrame, path: str, change: str) -> None:
-    if not old.isEmpty():
-        (old.select("id", F.lit(change).alias(CHANGE))
-         .write.mode("append").parquet(f"{path}/removed"))
+    """Erase the places of ``id, __file, __at`` rows, and take the ids out of the postings if there are any."""
+    if FILE not in old.columns or old.isEmpty():
+        return
+    directory.erase(old, path, change)
+    if has_fulltext(old.sparkSession, path):
+        old.select("id", F.lit(change).alias(CHANGE)).write.mode("append").parquet(f"{path}/removed")
 
 
 def delete_rows(spark: SparkSession, path: str, ids: DataFrame) -> None:
-    """Remove rows by id; only the ids are written."""
+    """Remove rows by id; the directory gives their places, and only these are written."""
     rows = read_rows(spark, path)
     if rows is None:
         return
-    with fixed(ids.select("id").distinct()) as ids, fixed(_held(rows, ids).select("id")) as old:
-        change = uuid.uuid4().hex
+    found = directory.locate(spark, path, ids.select("id").distinct(), _changes(spark, path),
+                             rows.schema["id"].dataType)
+    with fixed(found) as old:
+        change = _name()
         _remove(old, path, change)
         _commit(spark, path, change)
 
@@ -262,9 +324,13 @@ def delete_matching(spark: SparkSession, path: str, filter, promoted_keys=None)
     """Remove the rows a filter matches; one without clauses removes none."""
     from findry.functions import filters
 
-    rows = read_rows(spark, path)
-    if rows is not None and filters.predicate(filter) is not None:
-        delete_rows(spark, path, filters.keep(rows, filter, promoted_keys=promoted_keys).select("id"))
+    rows = _placed(spark, path, _changes(spark, path))
+    if rows is None or filters.predicate(filter) is None:
+        return
+    with fixed(filters.keep(rows, filter, promoted_keys=promoted_keys).select("id", FILE, AT)) as old:
+        change = _name()
+        _remove(old, path, change)
+        _commit(spark, path, change)
 
 
 def has_fulltext(spark: SparkSession, path: str) -> bool:
@@ -278,7 +344,7 @@ def ensure_fulltext(spark: SparkSession, path: str) -> None:
     rows = read_rows(spark, path)
     if rows is None or has_fulltext(spark, path):
         return
-    change = uuid.uuid4().hex
+    change = _name()
     _save_postings(rows, path, change)
     (spark.createDataFrame([(change,)], f"{CHANGE} string").coalesce(1)
      .write.mode("append").parquet(f"{path}/fulltext"))
@@ -289,7 +355,7 @@ def read_fulltext(spark: SparkSession, path: str) -> DataFrame | None:
     """The postings of the live rows of a corpus folder, or None if it has no full-text index."""
     if not has_fulltext(spark, path):
         return None
-    return _live(spark, path, "postings", _changes(spark, path))
+    return _live_postings(spark, path, _changes(spark, path))
 
 
 def _save_postings(rows: DataFrame, path: str, change: str) -> None:

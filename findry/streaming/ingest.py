@@ -15,11 +15,18 @@ def stream_into(documents: DataFrame, path: str, checkpoint: str, embedder: Embe
                 order_by: str | None = None, **trigger) -> StreamingQuery:
     """Upsert a stream of ``(id, content, metadata[, embedding])`` into a corpus folder.
 
+    ``order_by`` names the column that says which row of an id is the latest; a stream has no other order.  Its
+    values are kept with the corpus, so a row that arrives after a later one of its id changes nothing,
+    in whichever micro-batch it comes.
+
     Every micro-batch is assigned to the lists of the index and upserted by id, so a
     batch that is run again after a failure leaves the same rows.  Ids that are absent
     are derived from the text for the same reason.
     """
 
+    if order_by is None:
+        raise ValueError("a stream needs order_by: its rows arrive in no certain order")
+
     def apply(batch: DataFrame, _epoch: int) -> None:
         if batch.isEmpty():
             return
