@@ -28,15 +28,15 @@ from pyspark.sql import functions as F
 
 from findry.llm.scratch import Scratch
 
-SAMPLE = 40_000
-FEATURES = 20_000
+SAMPLE = 30_000
+FEATURES = 2_000
 SWAPS = 40_000
 # A feature is learned if so many documents of the sample hold it, and its likelihood ratio is beyond chance.
 LEAST_DOCUMENTS = 4
 LEAST_RATIO = 7.0
 RIDGE = 0.3
 FAIRNESS = 30.0
-STEPS = 200
+STEPS = 100
 ROUNDS = 2
 # Words of a sentence at most (longer ones are cut), and of a part but for its last sentence.
 WINDOW = 40
@@ -167,8 +167,8 @@ class _Rows:
 
     def __init__(self, rows: list[np.ndarray], width: int, values: list[np.ndarray] | None = None):
         self.n, self.width = len(rows), width
-        self.ids = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
-        self.row = np.repeat(np.arange(self.n), [len(r) for r in rows]) if rows else self.ids
+        self.ids = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(r) for r in rows]) if rows else self.ids
         self.values = np.concatenate(values) if values else np.ones(len(self.ids))
 
     def times(self, w: np.ndarray) -> np.ndarray:
