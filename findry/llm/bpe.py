@@ -19,6 +19,7 @@ Null texts count as empty: no ids, an empty decoded text.  Null ids decode to an
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -29,6 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from findry.llm.tokens import public_path
 
@@ -52,6 +54,20 @@ def byte_characters() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+def _class(split, c: str) -> str:
+    """A plain character of the class ``c`` has to a pre-tokenizer: letter, number or neither."""
+    if len(split("a" + c)) == 1:
+        return "a"
+    return "\u2400" if len(split("!" + c)) == 1 else "1"
+
+
+def _ranges(points: list[int]) -> str:
+    """A pattern for one of these code points."""
+    starts = [c for c, before in zip(points, [-2, *points]) if c != before + 1]
+    ends = [c for c, after in zip(points, [*points[1:], -2]) if after != c + 1]
+    return "[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in zip(starts, ends)) + "]"
+
+
 class Vocabulary:
     """A tokenizer file of the kind: word pattern, byte-level symbols, merges, word-end suffix."""
 
@@ -90,10 +106,14 @@ class Vocabulary:
         self.compatible: dict[tuple[int, int], bool] = {}
         self.known: dict[str, bytes] = {}
         self.known_words: dict[str, bytes] = {}
-        # Characters newer than the tables of the tokenizers library are neither letters nor numbers.
-        unassigned = "".join(filter(lambda c: unicodedata.category(c) == "Cn",
-                                    map(chr, range(0x80, 0x110000))))
-        self.newer = dict.fromkeys(map(ord, regex.findall(r"[\p{L}\p{N}]", unassigned)), "\u2400")
+        # Characters that Python's tables lack: the tokenizers library says whether they are letters or
+        # numbers to it, and brings texts that hold any into its own normal form.
+        library = Tokenizer.from_file(path)
+        self.normal_form = library.normalizer.normalize_str
+        newer = regex.findall(r"\P{Cn}", "".join(
+            c for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c) == "Cn"))
+        self.newer = {ord(c): _class(library.pre_tokenizer.pre_tokenize_str, c) for c in newer}
+        self.has_newer = re.compile(_ranges(sorted(self.newer))).search
 
     def _symbols(self, name: str) -> str:
         if name.endswith(self.suffix):
@@ -192,7 +212,9 @@ class Vocabulary:
         return data
 
     def _plain(self, text: str) -> bytes:
-        if not text.isascii():
+        if not text.isascii() and self.has_newer(text):
+            text = self.normal_form(text)
+        elif not text.isascii():
             # Lower case goes character by character, so a sigma at the end of a word is no special one.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         # No word of the pattern holds white space, so text between white space is encoded alone.

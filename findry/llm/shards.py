@@ -13,7 +13,8 @@ two or four bytes padded with zeros, 8 zero bytes.  Spark's committed text write
 record without its last byte is the line, the zero byte is the line end.  So a lost task leaves no
 half shard, on any file system Spark writes.
 
-Counting tokenises once more but stores nothing; staging the tokens would write and read them all once.
+Counting tokenises once more but stores nothing; staging the tokens would write and read them all once, and with the
+shuffle and the shards take more disk than three times the table.
 
 Null texts count as empty and give their separator only; a null doc_id is written as -1.
 An empty table gives no shards.
@@ -35,9 +36,13 @@ from findry.llm import tokens
 from findry.llm.scratch import new_path
 
 LENGTH = 2048
-# Rows of a shard at least, and shards at most (their number is the number of write tasks).
+# Rows of a shard, each written by one task and read whole (8192 rows of 2048 two-byte ids: 34 MB).  A larger number
+# makes fewer shards of a large table; a shard may take up to a gigabyte.
 SHARD_ROWS = 8192
-SHARDS = 20_000
+LARGEST_SHARD = 1 << 30
+# Records parsed at once.
+READ_ROWS = 1024
+NAMES = ["slot", "shard", "row", "doc_id", "start", "n_tokens", "ids", "valid"]
 ROUNDS = 6
 KEY = 0x5EED
 _HEADER = np.dtype([("slot", "<i8"), ("doc_id", "<i8"), ("start", "<i8"), ("tokens", "<u4"),
@@ -121,23 +126,29 @@ class Shards:
                   "ids binary, valid boolean")
         if first >= last:
             return self.spark.createDataFrame([], schema)
-        if first == 0 and last == self.sequences:
-            place = f"{self.path}/shard=*"
-        else:
-            place = ",".join(f"{self.path}/shard={s}"
-                             for s in range(first // self.rows, (last - 1) // self.rows + 1))
         rows, width = self.rows, self.width
-
-        def parse(record: bytes):
-            head = np.frombuffer(record, _HEADER, 1)[0]
-            n, slot = int(head["tokens"]), int(head["slot"])
-            raw = record[_HEADER.itemsize:_HEADER.itemsize + n * width]
-            ids = np.frombuffer(raw, f"<u{width}").astype("<u4").tobytes()
-            return (slot, slot // rows, slot % rows, int(head["doc_id"]), int(head["start"]), n, ids,
-                    zlib.crc32(raw) == int(head["crc"]))
-
-        records = self.spark.sparkContext.binaryRecords(place, stride(self.length, width))
-        frame = self.spark.createDataFrame(records.map(parse), schema)
+        record = np.dtype([*_HEADER.descr, ("ids", f"<u{width}", (self.length,)), ("end", "V", _TRAILER)])
+
+        def parse(batches):
+            for batch in batches:
+                for content in batch.column(0):
+                    every = np.frombuffer(content.as_buffer(), record)
+                    for at in range(0, len(every), READ_ROWS):
+                        some = every[at:at + READ_ROWS]
+                        sizes, slot = some["tokens"].tolist(), some["slot"].astype(np.int64)
+                        raw = [ids[:n].tobytes() for ids, n in zip(some["ids"], sizes)]
+                        valid = [zlib.crc32(r) == c for r, c in zip(raw, some["crc"].tolist())]
+                        if width != 4:
+                            raw = [np.frombuffer(r, f"<u{width}").astype("<u4").tobytes() for r in raw]
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(slot), pa.array(slot // rows), pa.array(slot % rows),
+                            pa.array(some["doc_id"].astype(np.int64)), pa.array(some["start"].astype(np.int64)),
+                            pa.array(some["tokens"].astype(np.int64)), pa.array(raw, pa.binary()),
+                            pa.array(valid)], NAMES)
+
+        files = (self.spark.read.format("binaryFile").load(self.path)
+                 .where(F.col("shard").between(first // rows, (last - 1) // rows)))
+        frame = files.select("content").mapInArrow(parse, schema)
         return frame.where((F.col("slot") >= first) & (F.col("slot") < last))
 
 
@@ -148,6 +159,8 @@ def materialise(docs: DataFrame, path: str | None = None, length: int = LENGTH,
     spark = docs.sparkSession
     path = path or new_path(spark, "shards")
     width = 4 if wide else 2
+    if shard_rows * stride(length, width) > LARGEST_SHARD:
+        raise ValueError(f"shards of {shard_rows} rows are larger than {LARGEST_SHARD} bytes")
     source = docs.select(F.col("doc_id").cast("long"), "text")
 
     def count(batches):
@@ -163,7 +176,7 @@ def materialise(docs: DataFrame, path: str | None = None, length: int = LENGTH,
 
     counted = {r["task"]: r["n"] for r in source.mapInArrow(count, "task long, n long").collect()}
     total = sum(counted.values())
-    rows = max(shard_rows, math.ceil(total / SHARDS))
+    rows = shard_rows
     out = Shards(spark, path, total, rows, length, width)
     if not total:
         return out

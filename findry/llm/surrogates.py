@@ -9,7 +9,7 @@ punctuation of each mention.  One entity thus gets one surrogate in all document
 
 Distinctness is checked over the whole table: all different entities are gathered, and a surrogate
 that two of them draw, that is itself an entity, or that was given out before is drawn again
-for all but one.  The few entities that were drawn again travel to the scan as a broadcast if they are few
+for all but one.  Where a format has no free form left, surrogates grow longer than it.  The few entities that were drawn again travel to the scan as a broadcast if they are few
 enough (``EXCEPTIONS``), else by a join.
 
 Null and empty texts stay as they are; rows need no unique doc_id.  Other columns pass through.
@@ -28,10 +28,14 @@ from pyspark.sql import types as T
 
 from findry.llm.scratch import Scratch
 
+DIGITS = "0123456789"
 KEY = b"findry surrogates: replace this key in production"
 # Re-drawn entities that are broadcast at most; more are joined.
 EXCEPTIONS = 100_000
 DRAWS = 200
+# Draws that keep the format; later ones make the surrogate longer, by one character more every second draw, as all
+# forms of a short format may be taken (there are 676 addresses like a@b.de).
+FORMAT_DRAWS = 4
 
 _NUMBERLIKE = re.compile(r"[+(\d][\d ().+-]{5,}")
 _CARD = re.compile(r"(?<![\d.-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|3[47]\d\d([ -])\d{6}\2\d{5}|\d{13,19})"
@@ -51,8 +55,9 @@ _HEX = re.compile(r"(?<![0-9A-Za-z])(?=[a-f]*\d)[0-9a-f]{32,}(?![0-9A-Za-z])"
                   r"|(?<![0-9A-Za-z])(?=[A-F]*\d)[0-9A-F]{32,}(?![0-9A-Za-z])")
 _SECRET_HINTS = ("oken", "OKEN", "ecret", "ECRET", "assword", "ASSWORD", "key", "KEY")
 # Titles and the gender they tell (fixed values).
-TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Herr": "m", "Frau": "f", "Monsieur": "m",
-          "Madame": "f", "Señor": "m", "Señora": "f", "Signor": "m", "Signora": "f",
+TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Sir": "m", "Herr": "m", "Frau": "f", "Monsieur": "m",
+          "Madame": "f", "Mme": "f", "Mlle": "f", "Señor": "m", "Señora": "f", "Señorita": "f", "Signor": "m",
+          "Signora": "f", "Dr": "n", "Prof": "n", "Doctor": "n", "Professor": "n",
           "господин": "m", "госпожа": "f", "κύριος": "m", "κυρία": "f"}
 _NAME = re.compile(
     r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.? (?=((?:[^\W\d_]+[ -]?){1,4}))")
@@ -67,7 +72,8 @@ SYLLABLES = {
                  "ни", "но", "ра", "ри", "ро", "са", "се", "та", "ти", "то"],
     "greek": ["βα", "γα", "δα", "δη", "κα", "κο", "λα", "λε", "λι", "μα", "μι", "μο", "να", "νι",
               "νο", "ρα", "ρι", "ρο", "σα", "σε", "τα", "τι", "το"]}
-ENDINGS = {("latin", "m"): "n", ("latin", "f"): "a", ("cyrillic", "m"): "н", ("cyrillic", "f"): "на",
+ENDINGS = {("latin", "n"): "", ("cyrillic", "n"): "", ("greek", "n"): "",
+           ("latin", "m"): "n", ("latin", "f"): "a", ("cyrillic", "m"): "н", ("cyrillic", "f"): "на",
            ("greek", "m"): "ς", ("greek", "f"): "νη"}
 
 
@@ -129,7 +135,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         found += [(*m.span(), "secret", m[0]) for m in _HEX.finditer(text)]
     if any(t in text for t in TITLES):
         found += _names(text)
-    found.sort(key=lambda x: (x[0], -x[1]))
+    found.sort(key=lambda x: (x[0], -x[1]))  # of one place what was found first
     out, end = [], 0
     for entity in found:
         if entity[0] >= end:
@@ -139,26 +145,36 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
 
 
 def _names(text: str) -> list[tuple[int, int, str, str]]:
-    """Names after a title, word by word, and the same full names without a title."""
-    found, full = [], {}
+    """Names after a title, word by word, and the same names and their words without a title.
+
+    A given name after a title without gender takes the gender another title tells in the text.  A word of
+    fewer than three letters is not looked for alone.
+    """
+    titled, gender_of, kinds = [], {}, {}
     for m in _NAME.finditer(text):
         words = []
         for w in re.finditer(r"[^\W\d_]+", m[2]):
             if not w[0][0].isupper() or len(words) == 4 or len(w[0]) < 2 or w[0] in TITLES:
                 break
             words.append((m.start(2) + w.start(), m.start(2) + w.end(), w[0]))
-        gender = TITLES[m[1]]
+        titled.append((TITLES[m[1]], words))
+        for _, _, word in words[:-1]:
+            if TITLES[m[1]] != "n":
+                gender_of.setdefault(word.lower(), TITLES[m[1]])
+    found = []
+    for gender, words in titled:
         for i, (a, b, word) in enumerate(words):
-            kind = "family" if i == len(words) - 1 else f"given-{gender}"
-            found.append((a, b, kind, word.lower()))
-        if len(words) > 1:
-            full[text[words[0][0]:words[-1][1]]] = gender
-    for name, gender in full.items():
-        for m in re.finditer(r"(?<!\w)" + re.escape(name) + r"(?!\w)", text):
-            words = list(re.finditer(r"[^\W\d_]+", name))
-            for i, w in enumerate(words):
-                kind = "family" if i == len(words) - 1 else f"given-{gender}"
-                found.append((m.start() + w.start(), m.start() + w.end(), kind, w[0].lower()))
+            low = word.lower()
+            kind = "family" if i == len(words) - 1 else f"given-{gender_of.get(low, gender)}"
+            # A word that was a given name elsewhere is that person's name alone as well ("Mr. Karl").
+            if kind == "family" and len(words) == 1 and kinds.get(word, kind) != "family":
+                kind = kinds[word]
+            kinds.setdefault(word, kind)
+            found.append((a, b, kind, low))
+    alone = sorted((w for w in kinds if len(w) > 2), key=len, reverse=True)
+    if alone:
+        for m in re.finditer(r"(?<!\w)(?:" + "|".join(map(re.escape, alone)) + r")(?!\w)", text):
+            found.append((*m.span(), kinds[m[0]], m[0].lower()))
     return found
 
 
@@ -181,6 +197,10 @@ class _Draws:
 def surrogate(kind: str, canonical: str, draw: int = 0, key: bytes = KEY) -> str:
     """Canonical form of the surrogate of an entity; ``draw`` counts how often it was drawn before."""
     rnd = _Draws(key, kind, canonical, str(draw))
+    longer = max(0, (draw - FORMAT_DRAWS + 2) // 2)
+
+    def more(letters: str) -> str:
+        return "".join(letters[rnd.below(len(letters))] for _ in range(longer))
 
     def other(c: str) -> str:
         if c.isdigit():
@@ -194,30 +214,30 @@ def surrogate(kind: str, canonical: str, draw: int = 0, key: bytes = KEY) -> str
     if kind == "email":
         name, _, domain = canonical.rpartition("@")
         host, _, top = domain.rpartition(".")
-        return "".join(map(other, name)) + "@" + "".join(map(other, host)) + "." + top
+        return "".join(map(other, name)) + more(ALPHABETS[script(name)]) + "@" + "".join(map(other, host)) + "." + top
     if kind == "ip":
-        return ".".join(str(1 + rnd.below(254)) for _ in range(4))
+        return ".".join(str(1 + rnd.below(254)) for _ in range(4)) + ("-" + more(DIGITS) if longer else "")
     if kind == "card":
         body = canonical[0] + "".join(str(rnd.below(10)) for _ in canonical[1:-1])
         good = str(-_luhn(body + "0") % 10)
         if _luhn(canonical):  # a number that fails the check keeps failing it
             good = str((int(good) + 1 + rnd.below(9)) % 10)
-        return body + good
+        return body + good + more(DIGITS)
     if kind == "ssn":
         area = 1 + rnd.below(665)
-        return f"{area:03d}{1 + rnd.below(99):02d}{1 + rnd.below(9999):04d}"
+        return f"{area:03d}{1 + rnd.below(99):02d}{1 + rnd.below(9999):04d}" + more(DIGITS)
     if kind == "phone":
         code, slash, rest = canonical.rpartition("/")
         new = [str(rnd.below(10)) for _ in rest]
         if len(rest) == 10:  # area and exchange begin with 2 to 9
             new[0], new[3] = str(2 + rnd.below(8)), str(2 + rnd.below(8))
-        return code + slash + "".join(new)
+        return code + slash + "".join(new) + more(DIGITS)
     if kind == "secret":
         if re.fullmatch(r"[0-9a-fA-F]+", canonical):
             digits = "0123456789ABCDEF" if any("A" <= c <= "F" for c in canonical) \
                 else "0123456789abcdef"
-            return "".join(digits[rnd.below(16)] for _ in canonical)
-        return "".join(map(other, canonical))
+            return "".join(digits[rnd.below(16)] for _ in canonical) + more(digits)
+        return "".join(map(other, canonical)) + more(ALPHABETS["latin"])
     own = script(canonical)
     parts = SYLLABLES[own]
     stem = "".join(parts[rnd.below(len(parts))] for _ in range(2 + (draw + 1) // 2))
@@ -234,7 +254,7 @@ def render(mention: str, kind: str, new: str) -> str:
         return "".join(c.upper() if m.isupper() else c for m, c in zip(mention, new)) \
             if len(mention) == len(new) else new
     digits = iter(filter(str.isdigit, new))
-    return "".join(next(digits, "0") if c.isdigit() else c for c in mention)
+    return "".join(next(digits, "0") if c.isdigit() else c for c in mention) + "".join(digits)
 
 
 def replace(text: str, again: dict | None = None, key: bytes = KEY):

@@ -101,3 +101,28 @@ def test_the_whole_of_a_long_local_part_is_replaced():
     found = surrogates.find(f"to ..{a}, {b} c@d@example.com")
     assert [f[3] for f in found] == [a, b, "d@example.com"]
     assert surrogates.surrogate("email", a) != surrogates.surrogate("email", b)
+
+
+def test_a_full_class_gives_longer_surrogates(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, f"write to {a}@{b}.de or +1 2{i % 10}") for i, (a, b) in enumerate(
+        (a, b) for a in letters for b in letters)]
+    rows.append((1000, "call +1 23 45"))
+    got = surrogates.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    new = [e["surrogate"] for r in got for e in r["entities"] if e["kind"] == "email"]
+    assert len(new) == len(set(new)) == 676
+    assert not set(new) & {r[1].split()[2] for r in rows}
+    assert all(len(n) >= 6 and n.endswith(".de") for n in new)
+
+
+def test_later_mentions_of_a_titled_name_are_replaced():
+    text = ("Dr. Anna Braun came with Mr. Karl Vogel. Vogel left, Karl stayed; Braun met Mrs. Anna Lund. "
+            "Prof. Otto Lang and Miss Ida May spoke. Vogelsang is no Vogel.")
+    new, spans = surrogates.replace(text)
+    by = {}
+    for kind, a, b, name in spans:
+        by.setdefault((text[a:b]), set()).add((kind, name))
+    assert all(len(v) == 1 for v in by.values())  # one name, one surrogate
+    assert {"Anna", "Braun", "Karl", "Vogel", "Otto", "Lang", "Ida", "May", "Lund"} == set(by)
+    assert next(iter(by["Anna"]))[0] == "given-f" and next(iter(by["Otto"]))[0] == "given-n"
+    assert "Vogelsang" in new and not any(re.search(rf"\b{n}\b", new) for n in by)

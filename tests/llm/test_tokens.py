@@ -216,3 +216,31 @@ def test_digests(spark):
         assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(
             library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_every_code_point_is_encoded_as_the_library_does():
+    library, own = Tokenizer.from_file(WORD), bpe.vocabulary(WORD)
+    for at in [*range(0, 0x34000, 8192), *range(0xE0000, 0xE2000, 8192)]:
+        texts = [f"x{chr(c)}y" for c in range(at, at + 8192) if not 0xD800 <= c < 0xE000]
+        for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+            assert ids_of(own.encode(text)) == want.ids, hex(ord(text[1]))
+    rnd = random.Random(8)
+    newer = list(map(chr, own.newer))
+    for _ in range(2000):
+        text = "".join(rnd.choice(newer if rnd.random() < 0.6 else "aB 1.\u0307\u0308Σ") for _ in range(rnd.randint(1, 20)))
+        assert ids_of(own.encode(text)) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_long_white_space_is_encoded_as_the_library_does(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [" " * 2_000_000, "a" + "\t" * 1_000_000 + "b", "x\n" + "\r\n " * 500_000, "c" + "\n" * 2_000_000 + "<|endoftext|>"]
+    own = tokens.encoder(tokens.public_path(tokens.BYTE_RANKS))
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for text, ids in zip(texts, want):
+        assert own.encode(text).tolist() == ids
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    packed = packing.pack(docs).groupBy("doc_id").sum("length").collect()
+    assert dict(map(tuple, packed)) == {i: len(ids) + 1 for i, ids in enumerate(want)}
+    rows = shards.materialise(docs).read().collect()
+    assert sum(r["n_tokens"] for r in rows) == sum(len(ids) + 1 for ids in want)
+    assert all(r["valid"] for r in rows)
