@@ -235,7 +235,7 @@ class BestMatches(BestRows):
     Query terms come as one list per vocabulary term: ``starts[t]:starts[t + 1]``
     spans the (query, weight) entries of term ``t``.  A row's score is
     ``sum(count * weight)`` over the terms it shares with the query, added in
-    vocabulary order; rows sharing no term are never offered.
+    vocabulary order; rows sharing no term with a query have no cell, and ``cells`` counts those there are.
     """
 
     def __init__(self, terms: dict, k: int):
@@ -243,6 +243,7 @@ class BestMatches(BestRows):
         self.vocab = pa.array(terms["vocab"], pa.string())
         self.starts, self.who, self.weight = terms["starts"], terms["who"], terms["weight"]
         self.fan = np.diff(self.starts)
+        self.cells = 0
 
     def add(self, ids: pa.Array, row: np.ndarray, term: pa.Array, count: np.ndarray | None) -> None:
         """``row[i]`` holds ``term[i]`` (``count[i]`` times, else once per entry)."""
@@ -254,14 +255,12 @@ class BestMatches(BestRows):
         key, back = np.unique(key, return_inverse=True)
         tf = np.bincount(back, weights=None if count is None else count[hit]).astype(np.float64)
         row, term = key // len(self.vocab), key % len(self.vocab)
-        step = max(1, PAIRS_AT_ONCE // max(1, self.n_queries))
-        # A slice of rows ends where its query entries or its score table get too big.
+        # A slice of rows ends where its query entries get too many.
         weighed = np.cumsum(self.fan[term])
         at = 0
         while at < len(row):
             done = weighed[at - 1] if at else 0
-            end = np.searchsorted(weighed, done + PAIRS_AT_ONCE, side="right")
-            end = min(end, np.searchsorted(row, row[at] + step, side="left"))
+            end = int(np.searchsorted(weighed, done + PAIRS_AT_ONCE, side="right"))
             if end < len(row):
                 whole = np.searchsorted(row, row[end], side="left")
                 end = whole if whole > at else np.searchsorted(row, row[at], side="right")
@@ -272,15 +271,16 @@ class BestMatches(BestRows):
         fan = self.fan[term]
         total = int(fan.sum())
         entry = np.repeat(self.starts[term] - np.cumsum(fan) + fan, fan) + np.arange(total)
-        first, n_rows = row[0], int(row[-1] - row[0]) + 1
-        cell = (np.repeat(row, fan) - first) * self.n_queries + self.who[entry]
-        score = np.bincount(cell, weights=np.repeat(tf, fan) * self.weight[entry],
-                            minlength=n_rows * self.n_queries)
-        seen = np.zeros(n_rows * self.n_queries, bool)
-        seen[cell] = True
-        distance = np.where(seen, -score, np.inf).reshape(n_rows, self.n_queries)
-        bound = self.bound
-        if n_rows > self.k:
-            bound = np.minimum(bound, np.partition(distance, self.k - 1, axis=0)[self.k - 1])
-        r, q = np.nonzero((distance <= bound[None, :]) & np.isfinite(distance))
-        self.offer(q, distance[r, q], ids.take(pa.array(r + first)))
+        # One cell for each row and query that share a word; its sum is added in the order of the words.
+        cell, place = np.unique(np.repeat(row, fan) * self.n_queries + self.who[entry], return_inverse=True)
+        self.cells += len(cell)
+        distance = -np.bincount(place, weights=np.repeat(tf, fan) * self.weight[entry])
+        r, q = cell // self.n_queries, cell % self.n_queries
+        near = distance <= self.bound[q]
+        r, q, distance = r[near], q[near], distance[near]
+        # Of a query's cells those that are no further than its k-th; rows ascend, but ids need not.
+        order = np.lexsort((distance, q))
+        first = np.searchsorted(q[order], q[order], side="left")
+        last = np.minimum(first + self.k - 1, np.searchsorted(q[order], q[order], side="right") - 1)
+        kept = order[distance[order] <= distance[order][last]]
+        self.offer(q[kept], distance[kept], ids.take(pa.array(r[kept])))

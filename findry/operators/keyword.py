@@ -8,7 +8,8 @@ keeps a small weight (``LEAST_IDF``), so that its repeats still rank.
 
 Documents are scored one at a time against all queries inside the scan, so a word that
 most documents and most queries share costs no join output: each task passes on ``k``
-rows per query and nothing is shuffled by word.
+rows per query and nothing is shuffled by word.  A task holds a cell for each document and query that
+share a word, and no others, in slices of bounded size.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from collections.abc import Mapping
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ from findry.functions.text import (
     MIN_TOKEN_LENGTH, STOP_WORDS, index_words, term_bucket, text_words, tokens, words)
 from findry.operators import topk
 from findry.schema import check_count
+from findry.sources.chunks import cut_into_chunks
+from findry.sources.lineage import cut_lineage
 
 SCORERS = ("overlap", "tfidf")
 # Fixed value: the idf InnoDB gives to a word that all documents hold.
@@ -75,6 +79,9 @@ def find_keywords(corpus, queries, k, filter=None, scorer="overlap", index=None,
         wanted = wanted.withColumn("weights", F.transform("terms", lambda t: F.lit(1.0)))
     else:
         wanted = _weighted(corpus, queries, index, min_length, stop_words)
+        # The words of the whole corpus are counted once, also where many queries are looked at twice.
+        few = queries.select("query_id").limit(topk.FIRST_LOOK_ROWS + 1).count() <= topk.FIRST_LOOK_ROWS
+        wanted = wanted if few else cut_lineage(wanted)
     side = topk.measure(wanted, "terms", topk.BROADCAST_BYTES // 4, per_row=32 + 24 * k,
                         even=False)
     if index is not None:
@@ -88,7 +95,7 @@ def find_keywords(corpus, queries, k, filter=None, scorer="overlap", index=None,
     if side.local is not None:
         partials = _scan(documents, side, k)
     else:
-        partials = _blocks(documents, side, k)
+        partials = _in_place(documents, side, wanted, k)
     return topk.best_per_query(partials, k), side.rows * k
 
 
@@ -172,21 +179,22 @@ def _scan(documents, side: topk.Side, k) -> DataFrame:
     return topk.scan_with(documents, "terms", shared, start, side.frame.schema["query_id"].dataType)
 
 
-def _blocks(documents, side: topk.Side, k) -> DataFrame:
-    """Too many queries to send around: blocks of documents meet blocks of queries."""
-    n, held = documents.agg(F.count("*"), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
-    per_word = 24
-    row_blocks = max(1, -(-held * per_word // topk.BLOCK_BYTES))
-    query_blocks = max(1, -(-side.rows * max(1, side.dim) * per_word // topk.BLOCK_BYTES))
-    documents = topk.into_blocks(documents, "id", row_blocks, query_blocks, "row_block", "query_block")
-    queries = topk.into_blocks(side.frame, "query_id", query_blocks, row_blocks,
-                               "query_block", "row_block")
-    extra = ["counts"] if "counts" in documents.columns else []
-    return topk.meet(
-        queries.select("row_block", "query_block", "query_id", F.col("terms").alias("wanted"),
-                       "weights"),
-        documents.select("row_block", "query_block", "id", "terms", *extra),
-        ["row_block", "query_block"],
-        lambda block: kernels.BestMatches(
-            _query_terms(block.rename_columns({"wanted": "terms"})), k),
-        _add)
+def _in_place(documents, side: topk.Side, queries, k) -> DataFrame:
+    """Too many queries to send around: they are written as files which the tasks of the scan read."""
+    per_chunk = max(1, topk.BLOCK_BYTES // (64 * max(1, side.dim)))
+    written = cut_into_chunks(queries, side.rows, per_chunk)
+
+    def start(held):
+        part = TaskContext.get().partitionId()
+
+        def score(chunk):
+            if not pc.sum(pc.list_value_length(chunk.column("terms"))).as_py():
+                return None
+            best = kernels.BestMatches(_query_terms(chunk), k)
+            _add(best, held)
+            return topk.partial_batch(best, kernels.one_array(chunk.column("query_id")), part)
+
+        return score
+
+    schema = topk.partial_schema(queries.schema["query_id"].dataType, documents.schema["id"].dataType)
+    return written.scan(documents, "terms", start, schema, topk.BLOCK_BYTES)

@@ -33,7 +33,7 @@ from findry.sources.chunks import cut_into_chunks
 # Most bytes of one side that may be broadcast, and rows fetched before measuring.
 BROADCAST_BYTES = 64 << 20
 FIRST_LOOK_ROWS = 4096
-# Size of one side of a block pair: of the rows a task holds and of a file of queries.
+# Size of the rows a task holds while it reads files of queries, and of such a file.
 BLOCK_BYTES = 64 << 20
 # Result rows that may be broadcast to look up their documents.
 BROADCAST_ROWS = 500_000
@@ -92,7 +92,7 @@ def best_per_query(partials: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _partial_schema(query_type: T.DataType, id_type: T.DataType) -> T.StructType:
+def partial_schema(query_type: T.DataType, id_type: T.DataType) -> T.StructType:
     return T.StructType([
         T.StructField("query_id", query_type),
         T.StructField("id", id_type),
@@ -101,7 +101,7 @@ def _partial_schema(query_type: T.DataType, id_type: T.DataType) -> T.StructType
     ])
 
 
-def _partial_batch(best: kernels.BestRows, query_ids: pa.Array, part: int):
+def partial_batch(best: kernels.BestRows, query_ids: pa.Array, part: int):
     query, ids, distance = best.result()
     if ids is None:
         return None
@@ -132,11 +132,11 @@ def scan_with(table: DataFrame, needed: str, shared: dict, start: Callable,
             batch = held(batch)
             if batch.num_rows:
                 add(best, batch)
-        out = _partial_batch(best, values["query_ids"], TaskContext.get().partitionId())
+        out = partial_batch(best, values["query_ids"], TaskContext.get().partitionId())
         if out is not None:
             yield out
 
-    return table.mapInArrow(run, _partial_schema(query_type, table.schema["id"].dataType))
+    return table.mapInArrow(run, partial_schema(query_type, table.schema["id"].dataType))
 
 
 def nearest_rows(corpus: DataFrame, queries: DataFrame, k: int, metric: str,
@@ -239,48 +239,14 @@ def _table_travels(rows: Side, queries, k, metric, probed) -> DataFrame:
                 kernels.to_matrix(batch.column("embedding"), values["matrix"].shape[1]), k, metric,
                 _members(batch.column("clusters")) if probed else None)
             best.add(values["matrix"], values["ids"], values.get("clusters"))
-            out = _partial_batch(best, batch.column("query_id"), part)
+            out = partial_batch(best, batch.column("query_id"), part)
             if out is not None:
                 yield out
 
-    schema = _partial_schema(queries.schema["query_id"].dataType, rows.frame.schema["id"].dataType)
+    schema = partial_schema(queries.schema["query_id"].dataType, rows.frame.schema["id"].dataType)
     return queries.mapInArrow(run, schema)
 
 
-def into_blocks(frame: DataFrame, key: str, blocks, other_blocks, mine: str,
-                other: str) -> DataFrame:
-    """Number this side's block and copy each row to every block of the other side."""
-    last = (F.lit(other_blocks) - 1).cast("int")
-    return (frame.withColumn(mine, F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), last))))
-
-
-def meet(queries: DataFrame, table: DataFrame, pair: list[str], start: Callable,
-         add: Callable) -> DataFrame:
-    """Score the blocks of both sides that share the columns ``pair``, one pair a group.
-
-    Blocks are bounded whatever the data, so a group is too.  Apart from ``pair`` the two
-    sides must not have a column name in common.
-    """
-
-    def score(query_block: pa.Table, block: pa.Table) -> pa.Table:
-        if query_block.num_rows and block.num_rows:
-            best = start(query_block)
-            add(best, block)
-            part = sum(block.column(name)[0].as_py() for name in pair)
-            out = _partial_batch(best, kernels.one_array(query_block.column("query_id")), part)
-            if out is not None:
-                return pa.Table.from_batches([out])
-        return pa.table({
-            "query_id": pa.array([], query_block.schema.field("query_id").type),
-            "id": pa.array([], block.schema.field("id").type),
-            "distance": pa.array([], pa.float64()),
-            "part": pa.array([], pa.int32())})
-
-    schema = _partial_schema(queries.schema["query_id"].dataType, table.schema["id"].dataType)
-    return (queries.groupBy(*pair).cogroup(table.groupBy(*pair)).applyInArrow(score, schema))
-
-
 def _in_place(corpus: DataFrame, side: Side, queries: DataFrame, k, metric, probed, block_bytes) -> DataFrame:
     """The queries are written as files which the tasks of the scan read; the corpus is not moved.
 
@@ -311,10 +277,10 @@ def _in_place(corpus: DataFrame, side: Side, queries: DataFrame, k, metric, prob
             best = kernels.NearestVectors(
                 kernels.to_matrix(chunk.column("embedding"), matrix.shape[1]), k, metric, members)
             best.add(matrix, ids, groups)
-            return _partial_batch(best, kernels.one_array(chunk.column("query_id")), part)
+            return partial_batch(best, kernels.one_array(chunk.column("query_id")), part)
 
         return score
 
     columns = ["id", "embedding"] + (["cluster"] if probed else [])
-    schema = _partial_schema(queries.schema["query_id"].dataType, corpus.schema["id"].dataType)
+    schema = partial_schema(queries.schema["query_id"].dataType, corpus.schema["id"].dataType)
     return written.scan(corpus.select(*columns), "embedding", start, schema, block_bytes)

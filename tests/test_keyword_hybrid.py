@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from findry.functions import kernels
@@ -266,3 +268,22 @@ def test_context(spark):
         "query_id long, rank int, content string")
     got = {r["query_id"]: r["context"] for r in assemble_context(results).collect()}
     assert got == {1: "first\nsecond\nlast", 2: "other"}
+
+
+def test_no_more_cells_than_matches():
+    rng = np.random.default_rng(5)
+    vocab = [f"w{i:03d}" for i in range(60)]
+    docs = [[vocab[j] for j in rng.choice(60, rng.integers(1, 5))] for _ in range(500)]
+    queries = [sorted({vocab[j] for j in rng.choice(60, 2)}) for _ in range(200)]
+    asked = pa.table({"terms": queries, "weights": [[1.0] * len(q) for q in queries]})
+    best = kernels.BestMatches(keyword._query_terms(asked), 3)
+    row = np.repeat(np.arange(500), [len(d) for d in docs])
+    best.add(pa.array(np.arange(500)), row, pa.array([w for d in docs for w in d]), None)
+    matches = [(q, d) for q, ws in enumerate(queries) for d, held in enumerate(docs) if set(ws) & set(held)]
+    assert best.cells == len(matches) < 500 * 200 / 5
+    found = {}
+    for q, d, away in zip(*(x if isinstance(x, np.ndarray) else x.to_numpy() for x in best.result())):
+        found.setdefault(int(q), []).append((away, d))
+    for q, ws in enumerate(queries):
+        scored = sorted((-float(sum(docs[d].count(w) for w in ws)), d) for p, d in matches if p == q)
+        assert sorted(found.get(q, [])) == scored[:3]
