@@ -93,24 +93,32 @@ def similarity(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.where(zero, 0.0, running_sum(left * right) / np.where(zero, 1.0, norms))
 
 
-def diverse(query: np.ndarray, candidates: np.ndarray, k: int, balance: float) -> list[int]:
-    """Indexes of up to ``k`` candidates, each close to the query and unlike those before.
+def diverse(queries: np.ndarray, candidates: np.ndarray, sizes: np.ndarray, k: int,
+            balance: float) -> list[list[int]]:
+    """For every query, places of up to ``k`` of its candidates, each close to it and unlike those before.
 
-    Greedy: every step takes the best of ``balance * similarity to the query -
-    (1 - balance) * largest similarity to one already taken``, the earlier on a tie.
+    ``candidates`` is (queries, places, dimension), of which the first ``sizes`` places count.  Greedy for all queries
+    at once: every step takes the best of ``balance * similarity to the query - (1 - balance) * largest
+    similarity to one already taken``, the earlier on a tie.
     """
-    near = similarity(np.broadcast_to(query, candidates.shape), candidates)
-    worst = np.zeros(len(candidates))
-    open_ = np.ones(len(candidates), bool)
-    taken: list[int] = []
-    while len(taken) < min(k, len(candidates)):
-        gain = np.where(open_, balance * near - (1.0 - balance) * worst, -np.inf)
-        pick = int(np.argmax(gain))
-        open_[pick] = False
-        alike = similarity(candidates, np.broadcast_to(candidates[pick], candidates.shape))
-        worst = np.maximum(worst, alike) if taken else alike
-        taken.append(pick)
-    return taken
+    n, places, dim = candidates.shape
+    flat = candidates.reshape(n * places, dim)
+
+    def alike(vectors):
+        return similarity(flat, np.repeat(vectors, places, axis=0)).reshape(n, places)
+
+    near, worst = alike(queries), None
+    open_ = np.arange(places)[None, :] < sizes[:, None]
+    taken = np.full((n, min(k, places)), -1)
+    for step in range(taken.shape[1]):
+        gain = balance * near - (1.0 - balance) * (0.0 if worst is None else worst)
+        pick = np.where(open_, gain, -np.inf).argmax(axis=1)
+        left = open_[np.arange(n), pick]
+        taken[left, step] = pick[left]
+        open_[np.arange(n), pick] = False
+        likeness = alike(candidates[np.arange(n), pick])
+        worst = likeness if worst is None else np.maximum(worst, likeness)
+    return [row[row >= 0].tolist() for row in taken]
 
 
 class BestRows:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,10 +22,22 @@ def _picks(wanted, vectors, k: int, balance: float):
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def pick(queries: pa.Array, candidates: pa.Array) -> pa.Array:
         wanted = kernels.to_matrix(queries)
-        out = []
-        for at in range(len(candidates)):
-            rows = kernels.to_matrix(candidates[at].values, wanted.shape[1])
-            out.append(kernels.diverse(wanted[at], rows, k, balance))
+        sizes = pc.list_value_length(candidates).to_numpy()
+        rows = kernels.to_matrix(candidates.flatten(), wanted.shape[1])
+        stops = np.cumsum(sizes)
+        at, out = 0, []
+        while at < len(sizes):
+            # Queries whose candidates fill one tensor of bounded size; one query at least.
+            most = np.maximum.accumulate(sizes[at:]) * np.arange(1, len(sizes) - at + 1) * wanted.shape[1]
+            end = at + max(1, int(np.searchsorted(most, kernels.PAIRS_AT_ONCE)))
+            here = sizes[at:end]
+            tensor = np.zeros((len(here), int(here.max()), wanted.shape[1]))
+            first = stops[at] - sizes[at]
+            owner = np.repeat(np.arange(len(here)), here)
+            place = np.arange(len(owner)) - np.repeat(np.cumsum(here) - here, here)
+            tensor[owner, place] = rows[first:stops[end - 1]]
+            out += kernels.diverse(wanted[at:end], tensor, here, k, balance)
+            at = end
         return pa.array(out, pa.list_(pa.int32()))
 
     return pick(wanted, vectors)

@@ -344,6 +344,10 @@ SELECT id, CAST(length(b.text) AS INTEGER) AS n_content, d.lang, role AS source,
 FROM batch b LEFT JOIN documents d ON d.doc_id = id UNION ALL
 SELECT doc_id, CAST(length(text) AS INTEGER), lang, source, n_chars FROM documents
 WHERE doc_id NOT IN (SELECT id FROM batch)""",
+    "embed_cached": f"""
+SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, n FROM (
+SELECT doc_id, {BUCKET} AS bucket, count(*) AS n
+FROM (SELECT doc_id, {WORDS.format(text='text')} AS w FROM documents) GROUP BY ALL)""",
     "stored_changes": """
 WITH batch AS (
   SELECT doc_id AS id, 'new text of ' || doc_id AS content FROM labels

@@ -23,7 +23,7 @@ from findry.operators import hybrid, ivf, keyword, mmr, search, topk
 from findry.operators.context import assemble_context
 from findry.operators.topk import broadcast_if_small
 from findry.schema import Columns, corpus_from_columns
-from findry.sources import storage
+from findry.sources import embeddings, storage
 from findry.sources.lineage import shared_folder
 from findry.sources.storage import spread
 
@@ -402,6 +402,19 @@ def upsert_columns(spark, folder):
         F.get_json_object("metadata", "$.n_chars").cast("long").alias("n_chars"))
 
 
+@query
+def embed_cached(spark, folder):
+    """Vectors of all texts through a cache that knows the English ones already."""
+    path = f"{shared_folder(spark)}/vectors-{uuid.uuid4().hex}"
+    docs = texts(spark, folder)
+    english = docs.join(read(spark, folder, "documents").where("lang = 'en'").select(
+        F.col("doc_id").alias("id")), "id", "left_semi")
+    embeddings.embed_cached(english, HashedWords(), path)
+    found = embeddings.embed_cached(docs, HashedWords(), path)
+    return (found.select(F.col("id").alias("doc_id"), F.posexplode("embedding").alias("bucket", "n"))
+            .where("n > 0").withColumn("n", F.col("n").cast("long")))
+
+
 @query
 def stored_changes(spark, folder):
     """A stored corpus through deletions by id and by filter, replaced rows and rows that come back."""

@@ -4,17 +4,20 @@ import json
 import math
 import random
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from findry.functions import kernels
 from findry.functions.text import STOP_WORDS
 from findry.operators import hybrid, keyword, mmr, topk
 from findry.operators.context import assemble_context
 from findry.sources import storage
+from findry.sources.embeddings import embed_cached
 
 
 def split(text):
@@ -287,3 +290,48 @@ def test_no_more_cells_than_matches():
     for q, ws in enumerate(queries):
         scored = sorted((-float(sum(docs[d].count(w) for w in ws)), d) for p, d in matches if p == q)
         assert sorted(found.get(q, [])) == scored[:3]
+
+
+def test_diversity_of_many_queries_at_once(monkeypatch):
+    rng = np.random.default_rng(7)
+    sizes = np.array([5, 0, 3, 9, 1])
+    candidates = np.zeros((5, 9, 4))
+    for q, n in enumerate(sizes):
+        candidates[q, :n] = rng.normal(size=(n, 4))
+    queries = rng.normal(size=(5, 4))
+    got = kernels.diverse(queries, candidates, sizes, 4, 0.6)
+    assert got == [plain_diverse(queries[q], candidates[q, :n].tolist(), 4, 0.6) for q, n in enumerate(sizes)]
+
+
+@pytest.mark.parametrize("budget", [1, 4_000_000])
+def test_picks_do_not_depend_on_how_queries_are_batched(spark, monkeypatch, budget):
+    monkeypatch.setattr(kernels, "PAIRS_AT_ONCE", budget)
+    rng = random.Random(3)
+    corpus = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(3)]) for i in range(40)],
+                                   "id long, embedding array<double>")
+    wanted = corpus.withColumnRenamed("id", "query_id").where("query_id < 20")
+    got = mmr.mmr(corpus, wanted, 3, 10, 0.5).select("query_id", "rank", "id").collect()
+    assert len(got) == 60 and all(r["id"] == r["query_id"] for r in got if r["rank"] == 1)
+
+
+def test_unchanged_texts_are_not_embedded_again(spark, tmp_path):
+    asked, path = tmp_path / "asked", str(tmp_path / "cache")
+    asked.mkdir()
+    folder = str(asked)
+
+    def embedder(texts):
+        # What it is asked goes to files, as it runs in other processes.
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as out:
+            json.dump(list(texts), out)
+        return [[float(len(t)), 1.0] for t in texts]
+
+    def seen():
+        return Counter(t for f in asked.iterdir() for t in json.loads(f.read_text()))
+
+    rows = spark.createDataFrame([(1, "a"), (2, "bb"), (3, "a"), (4, None), (5, "")], "id long, content string")
+    more = rows.unionByName(spark.createDataFrame([(6, "ccc"), (7, "bb")], rows.schema))
+    for frame, counts in ((rows, 3), (more, 4), (more.withColumn("embedding", F.lit(None)), 4)):
+        got = {r["id"]: r["embedding"] for r in embed_cached(frame, embedder, path).collect()}
+        assert got == {r["id"]: [float(len(r["content"] or "")), 1.0] for r in frame.collect()}
+        assert len(seen()) == counts and set(seen().values()) == {1}
+    assert embed_cached(rows.limit(0), embedder, str(tmp_path / "none")).count() == 0
