@@ -122,7 +122,9 @@ class Collection:
             if column not in embedded.columns:
                 embedded = embedded.withColumn(column, filters.promoted_value(
                     F.col("metadata"), key, self.kinds.get(key, "string")))
-        storage.upsert_rows(self.spark, self.folder(), embedded, order)
+        if order:  # the later of equal ids in this list; places in it mean nothing to other calls
+            embedded = ops.latest(embedded, order).drop(order)
+        storage.upsert_rows(self.spark, self.folder(), embedded)
         if order:
             return [row["id"] for row in batch.orderBy(order).select("id").collect()]
         return None
