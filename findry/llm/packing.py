@@ -10,7 +10,8 @@ window, which opens the next chunk.
 
 No shuffle and no order across tasks: a sequence number is the number of the task and the place
 in it, the same again when a lost task is run again.  Only the last sequence of each task may be short.
-Null texts count as empty and hold the separator only; repeated and null doc_ids pass through.
+Null texts count as empty and hold the separator only; repeated and null doc_ids pass through.  A text of any length is
+encoded whole, and so is a run of white space (see :mod:`findry.llm.tokens`); its ids are in memory at once.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ half shard, on any file system Spark writes.
 Counting tokenises once more but stores nothing; staging the tokens would write and read them all once, and with the
 shuffle and the shards take more disk than three times the table.
 
-Null texts count as empty and give their separator only; a null doc_id is written as -1.
+Null texts count as empty and give their separator only; a null doc_id is written as -1.  A text of any length is
+encoded whole and goes on from one sequence to the next.
 An empty table gives no shards.
 """
 
