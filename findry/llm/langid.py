@@ -6,9 +6,9 @@ below by absolute discounting, and the lowest with a uniform one.  The union of
 in sorted arrays of 64-bit hashes (four 16-bit units, a perfect hash), beside them one column of log
 probabilities per language with all interpolation done.  A text goes to the language of the lowest
 cross-entropy per character.  A text is rejected if even that is beyond what training texts of that
-language show, allowing for its length; the limit is calibrated on a bounded sample of every language,
-which is not learned from.  Of a language of few texts all are learned from, and models of parts of them
-measure the others; their spread is that of all languages together.
+language show, allowing for its length.  All training texts are learned from, and all set the limits: models of
+either half of them measure the texts of the other.  The texts of a language of few are measured by models
+of four fifths of them; the spread of a very rare one is that of all languages together.
 
 Arrays of up to ``ENTRIES`` counts are broadcast.  Of more, none is left out: discounts, totals and
 continuation counts are computed in Spark and stay in tables, and texts are scored in blocks, each of
@@ -41,10 +41,9 @@ ORDER = 4
 ENTRIES = 4_000_000
 # Characters of the texts that are scored together against a model in tables.
 BLOCK_CHARS = 1 << 22
-# Training texts of a language its rejection limit is calibrated on, at most (and a tenth of them all
-# at most).
-CALIBRATION = 1_000
-# A language with fewer calibration texts takes the spread of all languages.
+# Cells of a bit that entropies are counted in for the limits.
+GRID = 4096
+# A language with fewer texts takes the spread of all languages; one with up to ten times as many is measured by folds.
 FEW = 30
 FOLDS = 5
 UNDETERMINED = "und"
@@ -302,15 +301,18 @@ def _probabilities(codes: DataFrame, model: Model) -> DataFrame:
     return below
 
 
-def _measured(docs: DataFrame, model: Model, measure, schema) -> DataFrame:
-    """``measure(model, columns)`` of all rows of ``docs``, which have a column ``text``."""
+def _measured(docs: DataFrame, model: Model, measure, schema, scratch: Scratch | None = None) -> DataFrame:
+    """``measure(model, columns)`` of all rows of ``docs``, which have a column ``text``.
+
+    Under a model in tables, tables of the texts stay in ``scratch``.
+    """
     spark, names = docs.sparkSession, docs.columns
     place = names.index("text")
     if not model.stored:
         held = spark.sparkContext.broadcast(model)
         return docs.mapInArrow(
             lambda batches: (measure(held.value, batch) for batch in batches), schema)
-    scratch = Scratch(spark, "langid-blocks")
+    scratch = scratch or Scratch(spark, "langid-blocks")
 
     def cut(batches):
         task, size = TaskContext.get().partitionId() << 32, 0
@@ -390,79 +392,108 @@ def _cross_fitted(rows: pa.Table) -> pa.Table:
                      "entropy": pa.array(entropy, pa.float64()), "size": pa.array(sizes, pa.int64())})
 
 
-def _calibrate(model: Model, seen: pd.DataFrame) -> None:
-    """Limits of all languages from ``(lang, entropy, size)`` of texts that are not learned from."""
-    usual = seen.groupby("lang")["entropy"].median()
-    off = (seen["entropy"] - seen["lang"].map(usual)) * _trust(seen["size"])
+def _quantile(cells: pd.DataFrame, share: float) -> float:
+    """The quantile of ``n`` rows in every ``cell``; between two rows, in proportion."""
+    table = cells.groupby("cell")["n"].sum()
+    ends, at = table.cumsum().to_numpy(), share * (table.sum() - 1)
+    low, high = table.index.to_numpy()[np.searchsorted(ends, [np.floor(at), np.ceil(at)], side="right")] / GRID
+    return float(low + (at - np.floor(at)) * (high - low))
+
+
+def _cells(rows: DataFrame, value) -> pd.DataFrame:
+    """Rows of every language by cells of a value; their number is bounded, however many rows there are."""
+    return rows.groupBy("lang", F.round(value * GRID).cast("long").alias("cell")).agg(
+        F.count("*").alias("n")).toPandas()
+
+
+def _calibrate(model: Model, seen: DataFrame) -> None:
+    """Limits of all languages from ``(lang, entropy, size)`` of texts, each under a model that has not learned it."""
+    found = _cells(seen, F.col("entropy"))
+    if found.empty:
+        return
+    usual = {lang: _quantile(own, 0.5) for lang, own in found.groupby("lang")}
+    known = F.broadcast(seen.sparkSession.createDataFrame(list(usual.items()), "lang string, usual double"))
+    trust = F.sqrt(F.col("size") / (F.col("size") + 60.0))
+    off = _cells(seen.join(known, "lang"), (F.col("entropy") - F.col("usual")) * trust)
 
     def spread(some):
         # Three times what one text in a hundred exceeds, one bit at least.
-        return max(1.0, 3 * float(some.quantile(0.99)))
+        return max(1.0, 3 * _quantile(some, 0.99))
 
+    every = spread(off)
     for lang in model.langs:
-        own = off[seen["lang"] == lang]
-        if len(own) >= FEW:
-            model.limits[lang] = float(usual[lang]), spread(own)
-        elif len(off):
-            model.limits[lang] = float(usual[lang] if len(own) else usual.max()), spread(off)
+        own = off[off["lang"] == lang]
+        model.limits[lang] = (usual.get(lang, max(usual.values())),
+                              spread(own) if own["n"].sum() >= FEW else every)
 
 
-def train(docs: DataFrame, entries: int = ENTRIES, calibration: int = CALIBRATION) -> Model | None:
-    """Models of all languages of ``docs(doc_id, text, lang)``; None without a usable row."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "langid")
-    known = docs.where("lang is not null and text is not null")
-    # Classes of hashes, small ones first, so that a sample of any share is some whole classes.
-    known = known.withColumn("__hash", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) + 1)
-    known = known.withColumn("__class", F.floor(F.log2(F.col("__hash").cast("double")) * 32).cast("int"))
-    classes: dict[str, list] = {}
-    for r in known.groupBy("lang", "__class").count().collect():
-        classes.setdefault(r["lang"], []).append((r["__class"], r["count"]))
-    taken, small = [], []
-    for lang, own in classes.items():
-        total = sum(n for _, n in own)
-        if total < 10 * FEW:
-            small.append((lang,))
-            continue
-        room = min(total // 10, calibration)
-        for number, n in sorted(own):
-            if n <= room:
-                taken.append((lang, number))
-                room -= n
-    picked = F.broadcast(spark.createDataFrame(taken, "lang string, __class int"))
-    few = F.broadcast(spark.createDataFrame(small, "lang string"))
-    # The calibration sample is not learned from, so its entropies are those of new texts.
-    counts = scratch.keep(
-        gram_counts(known.join(picked, ["lang", "__class"], "left_anti")), "counts")
+def _model(counts: DataFrame, entries: int, scratch: Scratch) -> Model | None:
+    """The model of ``(lang, code, n)``, in tables if there are more than ``entries``; None if there are none."""
     number = counts.count()
     if not number:
-        scratch.drop("counts")
         return None
     if number > entries:
-        model = build_tables(counts, scratch)
-    else:
-        table = counts.toArrow()
-        langs = table.column("lang").to_numpy()
-        codes = table.column("code").to_numpy().view(np.uint64)
-        n = table.column("n").to_numpy()
-        model = build({str(lang): (codes[langs == lang], n[langs == lang]) for lang in set(langs)})
-    scratch.drop("counts")
+        return build_tables(counts, scratch)
+    table = counts.toArrow()
+    langs = table.column("lang").to_numpy()
+    codes = table.column("code").to_numpy().view(np.uint64)
+    n = table.column("n").to_numpy()
+    return build({str(lang): (codes[langs == lang], n[langs == lang]) for lang in set(langs)})
+
+
+def _own_entropies(texts: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
+    """``(lang, entropy, size)`` of ``(lang, text)`` under the model of the text's own language, if it has one."""
 
     def measure(own, batch):
+        place = {lang: i for i, lang in enumerate(own.langs)}
+        batch = batch.filter(pa.array([x in place for x in batch.column(0).to_pylist()], pa.bool_()))
         found = [own.entropies(g) for g in _in_groups(batch.column(1).to_pylist())]
         entropy, size = (np.concatenate(x) for x in zip(*found)) if found else (
             np.zeros((0, len(own.langs))), np.zeros(0, np.int64))
-        column = [own.langs.index(x) if x in own.langs else 0 for x in batch.column(0).to_pylist()]
+        column = np.array([place[x] for x in batch.column(0).to_pylist()], np.int64)
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(entropy[np.arange(len(column)), column]), pa.array(size)],
             ["lang", "entropy", "size"])
 
-    sample = known.join(picked, ["lang", "__class"], "left_semi").select("lang", "text")
-    seen = _measured(sample, model, measure, "lang string, entropy double, size long")
+    return _measured(texts, model, measure, "lang string, entropy double, size long", scratch)
+
+
+def train(docs: DataFrame, entries: int = ENTRIES) -> Model | None:
+    """Models of all languages of ``docs(doc_id, text, lang)``; None without a usable row."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "langid")
+    known = docs.where("lang is not null and text is not null").select(
+        "lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)).alias("__half"))
+    halves = [known.where(F.col("__half") == half).select("lang", "text") for half in (0, 1)]
+    counts = [scratch.keep(gram_counts(half), f"half{i}") for i, half in enumerate(halves)]
+    model = _model(scratch.keep(
+        counts[0].unionByName(counts[1]).groupBy("lang", "code").agg(F.sum("n").alias("n")), "counts"),
+        entries, scratch)
+    scratch.drop("counts")
+    if model is None:
+        scratch.drop("half0", "half1")
+        return None
+    number = known.groupBy("lang").count().collect()
+    few = F.broadcast(spark.createDataFrame(
+        [(r["lang"],) for r in number if r["count"] < 10 * FEW], "lang string"))
+    seen = []
+    for i, texts in enumerate(halves):
+        # Of the texts of one half, entropies under a model of the other are those of new texts.
+        own = Scratch(spark, "langid-half")
+        half = _model(counts[1 - i].join(few, "lang", "left_anti"), entries, own)
+        if half is not None:
+            found = _own_entropies(texts.join(few, "lang", "left_anti"), half, own)
+            seen.append(scratch.keep(found.where("size > 0"), f"seen{i}"))
+        own.drop(*list(own.paths))
+        scratch.drop(f"half{1 - i}")
     crossed = known.join(few, "lang", "left_semi").select("lang", "text").groupBy("lang").applyInArrow(
-        _cross_fitted, "lang string, entropy double, size long")
-    seen = pd.concat([f.where("size > 0").toPandas() for f in (seen, crossed)])
-    _calibrate(model, seen)
+        _cross_fitted, "lang string, entropy double, size long").where("size > 0")
+    seen.append(scratch.keep(crossed, "crossed"))
+    every = seen[0]
+    for part in seen[1:]:
+        every = every.unionByName(part)
+    _calibrate(model, every)
+    scratch.drop("seen0", "seen1", "crossed")
     return model
 
 

@@ -150,3 +150,36 @@ def test_rare_languages_beside_a_hot_one_keep_their_texts(spark):
         foreign = spark.createDataFrame([(1, "qqq xxx yyy zzz www vvv uuu ttt " * 3)],
                                         "doc_id long, text string")
         assert langid.identify(foreign, model).where("rejected").count() == 1
+
+
+def test_counts_and_limits_come_from_every_text(spark, monkeypatch):
+    rnd = random.Random(5)
+    rows = [(i, prose(rnd, 2, ALPHABETS["aa"]), "aa") for i in range(900)]
+    rows += [(900 + i, prose(rnd, 3, ALPHABETS["cc"]), "cc") for i in range(40)]
+    rows += [(2000, "123", "aa"), (2001, None, "aa"), (2002, prose(rnd, 2, "xyz"), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    measured = []
+    calibrate = langid._calibrate
+
+    def watched(model, seen):
+        measured.extend(r.asDict() for r in seen.collect())
+        calibrate(model, seen)
+
+    monkeypatch.setattr(langid, "_calibrate", watched)
+    for entries in (langid.ENTRIES, 100):
+        measured.clear()
+        model = langid.train(docs, entries=entries)
+        assert Counter(r["lang"] for r in measured) == {"aa": 900, "cc": 40}
+        for lang, (usual, spread) in model.limits.items():
+            own = [(r["entropy"], r["size"]) for r in measured if r["lang"] == lang]
+            entropy, size = (np.array(x) for x in zip(*own))
+            assert abs(usual - np.median(entropy)) < 1e-3
+            off = (entropy - np.median(entropy)) * np.sqrt(size / (size + 60.0))
+            assert abs(spread - max(1.0, 3 * np.quantile(off, 0.99))) < 3e-3
+    texts = [langid.normalise(r[1]) for r in rows if r[1] and r[2]]
+    whole = langid.train(docs)
+    assert set(np.unique(langid.grams(texts)[0])) == set(whole.keys[4])
+    # One text many times, all of it in one half: no text of that language can be measured.
+    same = spark.createDataFrame([(None, "abc def abc", "aa")] * 400, "doc_id long, text string, lang string")
+    alone = langid.train(same)
+    assert alone.langs == ["aa"] and not langid.identify(same, alone).where("rejected").count()
