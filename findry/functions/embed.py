@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterable, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,32 +15,55 @@ from pyspark.sql import types as T
 
 from findry.functions.text import NOT_WORD, words
 
+# Bytes of text an embedder is given at once; a longer text comes alone.
+TEXT_BYTES = 1 << 20
+
 Embedder = Callable[[Sequence[str]], Iterable[Sequence[float]]]
 
 
+def in_parts(texts: pa.Array, most: int = TEXT_BYTES) -> Iterable[pa.Array]:
+    """A text array in parts of at most ``most`` bytes or one text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(texts):
+        done = ends[at - 1] if at else 0
+        # Empty texts take room too.
+        end = min(max(at + 1, int(np.searchsorted(ends, done + most, side="right"))), at + max(1, most // 64))
+        yield texts.slice(at, end - at)
+        at = end
+
+
 def embed(text: Column, embedder: Embedder) -> Column:
     """Embed a text column.
 
-    ``embedder`` takes a list of texts (one Arrow batch) and returns one vector per
-    text, in order.  Null texts are embedded as empty ones.
+    ``embedder`` takes a list of texts (a part of an Arrow batch, so that a task's memory does not
+    follow the size of batches) and returns one vector per text, in order.  Null texts are embedded as empty ones.
     """
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def run(batch: pa.Array) -> pa.Array:
-        texts = [t or "" for t in batch.to_pylist()]
+        parts = [embedded([t or "" for t in part.to_pylist()]) for part in in_parts(batch)]
+        vectors = np.concatenate(parts) if parts else np.empty((0, 0))
+        offsets = pa.array(np.arange(len(batch) + 1) * vectors.shape[1], pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel()))
+
+    def embedded(texts):
         vectors = embedder(texts)
         if not isinstance(vectors, np.ndarray):
             vectors = np.array(list(vectors))
         vectors = vectors.astype(np.float64, copy=False)
         if vectors.shape[0] != len(texts) or vectors.ndim != 2:
             raise ValueError("the embedder must return one equal-length vector per text")
-        dim = vectors.shape[1]
-        offsets = pa.array(np.arange(len(texts) + 1) * dim, pa.int32())
-        return pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel()))
+        return vectors
 
     return run(text)
 
 
+@lru_cache(1 << 16)
+def _hashed(word: str) -> int:
+    return int(hashlib.md5(word.encode()).hexdigest(), 16)
+
+
 class HashedWords:
     """Bag-of-words embedder: each word adds one to the bucket its hash falls in."""
 
@@ -51,8 +75,7 @@ class HashedWords:
         row = np.repeat(np.arange(len(texts)), pc.list_value_length(pieces).to_numpy())
         coded = pieces.flatten().dictionary_encode()
         # The hash of each distinct word is taken once; gaps at the ends split off empty ones.
-        bucket = np.array([int(hashlib.md5(w.encode()).hexdigest(), 16) % self.dim if w else -1
-                           for w in coded.dictionary.to_pylist()], np.int64)
+        bucket = np.array([_hashed(w) % self.dim if w else -1 for w in coded.dictionary.to_pylist()], np.int64)
         bucket = bucket[coded.indices.to_numpy()] if len(bucket) else np.empty(0, np.int64)
         real = bucket >= 0
         counts = np.bincount(row[real] * self.dim + bucket[real], minlength=len(texts) * self.dim)

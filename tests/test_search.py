@@ -6,12 +6,14 @@ import random
 import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from findry.functions import distance as dist
 from findry.functions import kernels
-from findry.functions.embed import HashedWords, embed, hashed_word_counts
+from findry.functions.embed import TEXT_BYTES, HashedWords, embed, hashed_word_counts, in_parts
 from findry.operators import corpus as ops
 from findry.operators import ivf, search, topk
 
@@ -300,3 +302,23 @@ def test_kernel_copies_do_not_pile_up():
         assert best.kept.num_rows == 8
     every = sorted(f"{(i * 7919 + b) % 100000:06d}" for b in range(20) for i in range(1000))
     assert best.result()[1].to_pylist() == every[:4] * 2
+
+
+def test_an_embedder_is_given_texts_in_bounded_parts(spark):
+    texts = pa.array(["word " * 40, None, "", "é" * 5000, "a b c"] * 50 + [""] * 300, pa.string())
+    parts = list(in_parts(texts, 1000))
+    assert pa.concat_arrays(parts).equals(texts)
+    assert all(len(p) == 1 or pc.sum(pc.binary_length(p)).as_py() <= 1000 for p in parts)
+    assert max(map(len, parts)) <= 1000 // 64
+    assert list(in_parts(pa.array([], pa.string()))) == []
+
+    class Watched(HashedWords):
+        def __call__(self, some):
+            if sum(len(t) for t in some) > TEXT_BYTES and len(some) > 1:
+                raise ValueError("too much text at once")
+            return super().__call__(some)
+
+    rows = spark.createDataFrame([(i, f"w{i} " * 100_000) for i in range(12)], "id long, text string").coalesce(1)
+    got = {r["id"]: r["v"] for r in rows.select("id", embed(F.col("text"), Watched()).alias("v")).collect()}
+    for i, row in got.items():
+        assert row == HashedWords()([f"w{i} " * 100_000])[0].tolist()
