@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Pairs scored at once; bounds the scratch memory of a task.
-PAIRS_AT_ONCE = 4_000_000
+PAIRS_AT_ONCE = 500_000
 ULP = float(np.finfo(np.float64).eps)
 
 

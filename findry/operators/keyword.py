@@ -35,6 +35,8 @@ from findry.sources.lineage import cut_lineage
 SCORERS = ("overlap", "tfidf")
 # Fixed value: the idf InnoDB gives to a word that all documents hold.
 LEAST_IDF = math.log10(1.0001)
+# Words of documents that a task looks up at once; bounds its scratch memory.
+TERMS_AT_ONCE = 250_000
 
 
 def postings(corpus: DataFrame, scorer: str = "tfidf") -> DataFrame:
@@ -161,6 +163,17 @@ def _query_terms(table: pa.Table) -> dict:
 
 
 def _add(best: kernels.BestMatches, batch) -> None:
+    """Offers the documents of a batch, in parts of ``TERMS_AT_ONCE`` words or one document."""
+    sizes = pc.fill_null(pc.list_value_length(kernels.one_array(batch.column("terms"))), 0).to_numpy()
+    ends, at = np.cumsum(sizes.astype(np.int64)), 0
+    while at < batch.num_rows:
+        done = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, done + TERMS_AT_ONCE, side="right")))
+        _add_part(best, batch.slice(at, end - at))
+        at = end
+
+
+def _add_part(best: kernels.BestMatches, batch) -> None:
     lists = kernels.one_array(batch.column("terms"))
     row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
     counts = None
