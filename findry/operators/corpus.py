@@ -114,13 +114,16 @@ def request(spark, ids: Sequence, id_type: T.DataType | None = None) -> DataFram
     return spark.createDataFrame(list(enumerate(ids)), schema)
 
 
-def get_by_ids(corpus: DataFrame, requests: DataFrame) -> DataFrame:
+def get_by_ids(corpus: DataFrame, requests: DataFrame,
+               columns: Sequence[str] = ("content", "metadata")) -> DataFrame:
     """Documents for a ``(position, id)`` request, in request order.
 
-    Ids the corpus lacks are skipped; repeated ids give repeated rows.
+    Ids the corpus lacks are skipped; repeated ids give repeated rows.  ``columns`` names what is wanted of a
+    document: join and sort move these only, once for every request, so what is derived from a text is best
+    derived in the corpus.
     """
     wanted = broadcast_if_small(requests.select("position", "id"))
-    parts = [c for c in ("content", "metadata") if c in corpus.columns]
+    parts = [c for c in columns if c in corpus.columns]
     return (corpus.select("id", *parts).join(wanted, "id")
             .select("position", "id", *parts).orderBy("position"))
 

@@ -202,8 +202,8 @@ def get_by_ids(spark, folder):
     """The document numbered like each event's user; repeats and misses included."""
     wanted = read(spark, folder, "events").select(
         F.col("event_id").alias("position"), (F.col("user_id") * 9).alias("id"))
-    return ops.get_by_ids(documents(spark, folder), wanted).select(
-        "position", "id", F.length("content").alias("n_content"))
+    docs = documents(spark, folder).withColumn("n_content", F.length("content"))
+    return ops.get_by_ids(docs, wanted, ["n_content"]).select("position", "id", "n_content")
 
 
 @query
