@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from findry.functions.text import term_bucket
+from findry.functions.text import term_bucket, text_words
 from findry.operators import corpus as ops
 from findry.operators import ivf
 from findry.operators.ivf import Index
@@ -33,6 +33,8 @@ from findry.sources.lineage import fixed
 UNASSIGNED = -1
 CHANGE_SCHEMA = f"seq long, {CHANGE} string"
 ROWS_PER_FILE = 100_000
+# Documents whose postings of one folder are sorted together.
+IDS_PER_SLOT = 25_000
 
 
 def read_table(spark: SparkSession, path: str, columns: Columns = Columns(),
@@ -359,10 +361,21 @@ def read_fulltext(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def _save_postings(rows: DataFrame, path: str, change: str) -> None:
-    from findry.operators import keyword
+    """Append the postings of rows: their words are shuffled once, by folder and by a part of the ids.
 
-    write_postings(keyword.postings(rows.select("id", "content")).withColumn(CHANGE, F.lit(change)),
-                   f"{path}/postings", mode="append")
+    A common word's postings so lie in several files, and counting a document's repeats needs no shuffle of its own.
+    """
+    slots = max(1, -(-rows.count() // IDS_PER_SLOT))
+    # A written corpus may lie in fewer files than there are cores.
+    words = spread(rows.select("id", "content"), "id").select(
+        "id", F.explode(text_words(F.col("content"))).alias("term"))
+    (words.withColumn("bucket", term_bucket(F.col("term")))
+     .withColumn("__slot", F.pmod(F.xxhash64("id"), F.lit(slots)))
+     .repartition("bucket", "__slot")
+     .groupBy("bucket", "__slot", "term", "id").agg(F.count("*").cast("int").alias("tf"))
+     .select("term", "id", "tf", F.lit(change).alias(CHANGE), "bucket")
+     .sortWithinPartitions("bucket", "term", "id")
+     .write.partitionBy("bucket").mode("append").parquet(f"{path}/postings"))
 
 
 def write_postings(postings: DataFrame, path: str, files: int | None = None,
